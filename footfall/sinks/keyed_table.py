@@ -1,0 +1,136 @@
+"""Keyed result tables on plain Parquet, safe to write again with the same commit number.
+
+Every commit adds one folder with its own rows and never touches older ones, so a write costs
+as much as the change it carries. Reading settles rows of the same key by the table's rule.
+Every ``fold_every`` commits are folded into one wider folder, and those into a still wider one,
+which keeps the number of folders a reader opens small.
+"""
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+COMMIT = "commit_id"
+_SPAN = "span"
+
+ADD = "add"
+REPLACE = "replace"
+FIRST = "first"
+GROUP = "group"
+
+
+class KeyedTable:
+    """A table addressed by ``keys``.
+
+    rule      rows of one key settle to
+    add       the sum of their values
+    replace   the row of the newest commit
+    first     the row of the oldest commit
+    group     all rows of the newest commit that has the key (the key names a group of rows)
+    """
+
+    def __init__(self, spark, path, schema, keys, rule, partition_by=None, fold_every=16):
+        if rule not in (ADD, REPLACE, FIRST, GROUP):
+            raise ValueError(f"unknown rule {rule!r}")
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.keys, self.rule = list(keys), rule
+        self.values = [f.name for f in schema.fields if f.name not in self.keys]
+        self.partition_by = partition_by
+        self.fold_every = fold_every
+
+    # -- writing
+
+    def write(self, df, commit_id):
+        """Store ``df`` as commit ``commit_id``; doing so again replaces that commit alone.
+
+        Under ``replace`` and ``first`` a key may occur once per commit.
+        """
+        numbered = df.select(*self.schema.names).withColumn(COMMIT, F.lit(commit_id).cast("bigint"))
+        self._store(numbered, commit_id, commit_id)
+        due = {s for s in self._spans() if s[0] <= commit_id <= s[1] and s[0] < s[1]}
+        width = self.fold_every
+        while (commit_id + 1) % width == 0:
+            due.add((commit_id - width + 1, commit_id))
+            width *= self.fold_every
+        for first, last in sorted(due, key=lambda s: s[1] - s[0]):
+            self._fold(first, last)
+
+    def insert_new(self, df, commit_id):
+        """Store the rows of ``df`` whose key no earlier commit has."""
+        known = self.rows(before=commit_id).select(*self.keys)
+        self.write(df.dropDuplicates(self.keys).join(known, self.keys, "left_anti"), commit_id)
+
+    def _store(self, df, first, last):
+        writer = df.write.mode("overwrite")
+        if self.partition_by:
+            writer = writer.partitionBy(self.partition_by)
+        writer.parquet(f"{self.path}/{_SPAN}={first}_{last}")
+
+    def _fold(self, first, last):
+        # Narrower folders stay in place, so the fold never reads what it writes.
+        parts = [s for s in self._spans() if first <= s[0] and s[1] <= last and s != (first, last)]
+        if len(parts) > 1:
+            self._store(self._settle(self._load(_cover(parts))), first, last)
+
+    # -- reading
+
+    def rows(self, before=None):
+        """Unsettled rows of all commits, or of those numbered below ``before``."""
+        spans = self._spans()
+        if before is not None:
+            spans = [s for s in spans if s[1] < before]
+        return self._load(_cover(spans))
+
+    def changes(self, commit_id):
+        """The rows one commit brought."""
+        own = [s for s in self._spans() if s == (commit_id, commit_id)]
+        return self._load(own).select(*self.schema.names)
+
+    def read(self, before=None, where=None):
+        """The table as it stands; ``where`` is applied before settling and must only use keys."""
+        rows = self.rows(before)
+        if where is not None:
+            rows = rows.filter(where)
+        return self._settle(rows).select(*self.schema.names)
+
+    def _load(self, spans):
+        stored = StructType([*self.schema.fields, StructField(COMMIT, LongType()), StructField(_SPAN, StringType())])
+        if not spans:
+            return self.spark.createDataFrame([], stored).drop(_SPAN)
+        folders = [f"{self.path}/{_SPAN}={a}_{b}" for a, b in spans]
+        return self.spark.read.schema(stored).option("basePath", self.path).parquet(*folders).drop(_SPAN)
+
+    def _settle(self, rows):
+        newest = F.max(COMMIT).alias(COMMIT)
+        if self.rule == ADD:
+            return rows.groupBy(*self.keys).agg(*[F.sum(v).alias(v) for v in self.values], newest)
+        if self.rule == GROUP:
+            latest = rows.groupBy(*self.keys).agg(newest)
+            return rows.join(latest, [*self.keys, COMMIT], "left_semi")
+        pick = F.max_by if self.rule == REPLACE else F.min_by
+        settled = newest if self.rule == REPLACE else F.min(COMMIT).alias(COMMIT)
+        return rows.groupBy(*self.keys).agg(*[pick(v, COMMIT).alias(v) for v in self.values], settled)
+
+    def _spans(self):
+        """(first, last) commit numbers of the completely written folders."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        found = []
+        for name in names:
+            if name.startswith(f"{_SPAN}=") and fs.exists(hadoop.Path(f"{self.path}/{name}/_SUCCESS")):
+                first, last = name.removeprefix(f"{_SPAN}=").split("_")
+                found.append((int(first), int(last)))
+        return found
+
+
+def _cover(spans):
+    """The widest non-overlapping folders that hold every commit once."""
+    chosen, covered = [], -1
+    for first, last in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if first > covered:
+            chosen.append((first, last))
+            covered = last
+    return chosen
