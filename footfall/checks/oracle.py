@@ -109,7 +109,8 @@ def _sql(body, *views):
 _TIME = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 _ACTION_COLUMNS = (
     "date, user_id, session_id, page_id, " + _TIME.format("action_time") + " AS action_time, search_keyword, "
-    "click_category_id, click_product_id, order_category_ids, order_product_ids, pay_category_ids, "
+    "CAST(click_category_id AS VARCHAR) AS click_category_id, CAST(click_product_id AS VARCHAR) AS click_product_id, "
+    "order_category_ids, order_product_ids, pay_category_ids, "
     "pay_product_ids, city_id"
 )
 _SESSION_COLUMNS = (
@@ -371,7 +372,7 @@ ORACLE = {
     "ad_user_click_count": _sql(_count(_USER), "ad_click"),
     "ad_blacklist": _sql("SELECT user_id FROM black", "black"),
     "ad_clicks_not_blacklisted": _sql(
-        "SELECT date, hour, minute, province, city, user_id, ad_id FROM ad_click ANTI JOIN black USING (user_id)",
+        "SELECT event_millis, date, hour, minute, province, city, user_id, ad_id FROM ad_click ANTI JOIN black USING (user_id)",
         "black",
     ),
     "ad_city_click_count": _sql(_count(_CITY), "ad_click"),

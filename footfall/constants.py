@@ -66,5 +66,4 @@ DATE_FORMAT = "yyyy-MM-dd"
 DATE_KEY_FORMAT = "yyyyMMdd"
 HOUR_KEY_FORMAT = "yyyyMMddHH"
 MINUTE_KEY_FORMAT = "yyyyMMddHHmm"
-MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 DATE_HOUR_FORMAT = "yyyy-MM-dd_HH"

@@ -50,17 +50,17 @@ def date_hour_text(c):
 
 
 def before(a, b):
-    """Time text ``a`` is earlier than ``b``; false when either does not parse."""
-    return F.coalesce(parse_time(a) < parse_time(b), F.lit(False))
+    """Parsed time ``a`` is earlier than ``b``; false when either is null, as unparsable text is."""
+    return F.coalesce(_col(a) < _col(b), F.lit(False))
 
 
 def after(a, b):
-    return F.coalesce(parse_time(a) > parse_time(b), F.lit(False))
+    return F.coalesce(_col(a) > _col(b), F.lit(False))
 
 
 def minus(a, b):
-    """Whole seconds from ``b`` to ``a``; 0 when either does not parse."""
-    return F.coalesce(F.unix_seconds(parse_time(a)) - F.unix_seconds(parse_time(b)), F.lit(0))
+    """Whole seconds from parsed time ``b`` to ``a``; 0 when either is null."""
+    return F.coalesce(F.unix_seconds(_col(a)) - F.unix_seconds(_col(b)), F.lit(0))
 
 
 def whole_seconds(c):

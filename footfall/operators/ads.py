@@ -1,9 +1,12 @@
 """Ad-click statistics over a bounded log."""
 
+import datetime
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from footfall import constants as K
+from footfall.functions.times import format_date
 from footfall.operators.ranking import top_n_per_group
 
 USER_KEYS = ["date", "user_id", "ad_id"]
@@ -12,16 +15,18 @@ PROVINCE_KEYS = ["date", "province", "ad_id"]
 TREND_KEYS = ["date", "hour", "minute", "ad_id"]
 
 
-def _count(clicks, keys):
-    return clicks.groupBy(*keys).agg(F.count("*").alias("click_count"))
+def _daily(clicks, *keys):
+    """Count per day and keys; days are grouped as dates and written as text afterwards."""
+    counts = clicks.groupBy(F.to_date("event_time").alias("_day"), *keys).agg(F.count("*").alias("click_count"))
+    return counts.select(F.col("_day").cast("string").alias("date"), *keys, "click_count")
 
 
 def user_click_counts(clicks):
-    return _count(clicks, USER_KEYS)
+    return _daily(clicks, "user_id", "ad_id")
 
 
 def city_click_counts(clicks):
-    return _count(clicks, CITY_KEYS)
+    return _daily(clicks, "province", "city", "ad_id")
 
 
 def province_click_counts(city_counts):
@@ -50,26 +55,38 @@ def province_top_ads(province_counts, n=K.TOP_ADS):
 
 def click_trend(clicks):
     """Clicks per minute and ad."""
-    return _count(clicks, TREND_KEYS)
+    per_minute = clicks.groupBy(F.date_trunc("minute", "event_time").alias("_m"), "ad_id").agg(
+        F.count("*").alias("click_count")
+    )
+    return per_minute.select(*minute_parts("_m"), "ad_id", "click_count")
+
+
+def minute_parts(time):
+    """``date``, ``hour`` and ``minute`` of a timestamp column."""
+    return (
+        format_date(time).alias("date"),
+        F.date_format(time, "HH").alias("hour"),
+        F.date_format(time, "mm").alias("minute"),
+    )
 
 
-def minute_of(trend_columns=("date", "hour", "minute")):
+def minute_of():
     """The minute a trend row stands for, as ``yyyy-MM-dd HH:mm`` text (sorts by time)."""
-    day, hour, minute = trend_columns
-    return F.concat(F.col(day), F.lit(" "), F.col(hour), F.lit(":"), F.col(minute))
+    return F.concat("date", F.lit(" "), "hour", F.lit(":"), "minute")
 
 
 def recent_trend(trend, now=None, minutes=K.TREND_MINUTES):
     """Trend rows of the last ``minutes`` minutes up to and including ``now``.
 
-    ``now`` is ``yyyy-MM-dd HH:mm`` text; by default the newest minute in the trend. The day
-    bound comes first so that a trend stored by date prunes its folders.
+    ``now`` is ``yyyy-MM-dd HH:mm`` text; by default the newest minute in the trend, which is
+    looked up first. The day bound prunes the folders of a trend stored by date.
     """
-    end = F.lit(now) if now else trend.agg(F.max(minute_of())).scalar()
-    first = F.to_timestamp(end, K.MINUTE_FORMAT) - F.make_interval(mins=F.lit(minutes - 1))
-    start = F.date_format(first, K.MINUTE_FORMAT)
-    days = F.col("date").between(F.substring(start, 1, 10), F.substring(end, 1, 10))
-    return trend.filter(days & minute_of().between(start, end))
+    now = now or trend.agg(F.max(minute_of())).first()[0]
+    if now is None:
+        return trend
+    first = datetime.datetime.strptime(now, "%Y-%m-%d %H:%M") - datetime.timedelta(minutes=minutes - 1)
+    start = first.strftime("%Y-%m-%d %H:%M")
+    return trend.filter(F.col("date").between(start[:10], now[:10]) & minute_of().between(start, now))
 
 
 def first_offences(clicks, threshold=K.BLACKLIST_THRESHOLD):
@@ -78,9 +95,10 @@ def first_offences(clicks, threshold=K.BLACKLIST_THRESHOLD):
     ``clicks`` carries a batch number ``batch``. Clicks before the first offence are never
     dropped, so the running count of all clicks finds the same batch as a live run would.
     """
-    per_batch = clicks.groupBy("batch", *USER_KEYS).agg(F.count("*").alias("_n"))
+    keys = [F.to_date("event_time").alias("_day"), F.col("user_id"), F.col("ad_id")]
+    per_batch = clicks.groupBy("batch", *keys).agg(F.count("*").alias("_n"))
     running = F.sum("_n").over(
-        Window.partitionBy(*USER_KEYS).orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_day", "user_id", "ad_id").orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         per_batch.withColumn("_total", running)

@@ -1,0 +1,6 @@
+"""Size checks that come before any broadcast hint."""
+
+
+def is_small(df, max_rows=50_000):
+    """Whether ``df`` has at most ``max_rows`` rows; reads no more than that many per partition."""
+    return df.limit(max_rows + 1).count() <= max_rows

@@ -19,7 +19,8 @@ def area_product_clicks(clicks, cities):
     no product, however popular, brings more rows to a group than there are cities.
     """
     per_city = clicks.groupBy("city_id", "product_id").agg(F.count("*").alias("_n"))
-    located = per_city.join(cities, "city_id")
+    # Partitioning by product serves both this grouping and a following join with the products.
+    located = per_city.join(cities, "city_id").repartition("product_id")
     city = text.concat_long_string("city_id", "city_name", ":")
     return located.groupBy("area", "product_id").agg(
         F.sum("_n").alias("click_count"), text.group_concat_distinct(city).alias("city_infos")

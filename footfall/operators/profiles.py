@@ -6,7 +6,7 @@ from footfall.functions import text, times
 from footfall.operators.sequence import with_previous
 
 
-def action_time_features(actions, noon="12:00:00", slot_rows=1_000_000):
+def action_time_features(actions, slot_rows=1_000_000):
     """Time parts of each action and its distance to the session's previous one in log order.
 
     ``actions`` needs ``seq`` (position in the log), ``session_id`` and ``action_time`` as text.
@@ -14,13 +14,12 @@ def action_time_features(actions, noon="12:00:00", slot_rows=1_000_000):
     timed = actions.select("seq", "session_id", "action_time", times.parse_time("action_time").alias("_t"))
     slot = F.floor(F.col("seq") / slot_rows)
     timed = with_previous(timed, "session_id", "seq", "_t", slot, "_before")
-    previous = times.format_time("_before")
-    day = times.format_date("_t")
+    noon = F.date_trunc("day", "_t") + F.expr("INTERVAL 12 HOURS")
     return timed.select(
         "seq",
         "session_id",
         times.format_time("_t").alias("action_time"),
-        day.alias("date"),
+        times.format_date("_t").alias("date"),
         times.format_date_key("_t").alias("date_key"),
         times.format_date(times.parse_date_key(times.format_date_key("_t"))).alias("date_from_key"),
         times.date_hour("_t").alias("date_hour"),
@@ -29,9 +28,9 @@ def action_time_features(actions, noon="12:00:00", slot_rows=1_000_000):
         times.format_minute_key("_t").alias("minute_key"),
         text.zero_fill(F.hour("_t").cast("string")).alias("hour"),
         text.zero_fill(F.minute("_t").cast("string")).alias("minute"),
-        times.minus("action_time", previous).alias("gap_seconds"),
-        times.before("action_time", previous).alias("out_of_order"),
-        times.after("action_time", F.concat_ws(" ", day, F.lit(noon))).alias("after_noon"),
+        times.minus("_t", "_before").alias("gap_seconds"),
+        times.before("_t", "_before").alias("out_of_order"),
+        times.after("_t", noon).alias("after_noon"),
     )
 
 

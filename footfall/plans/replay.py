@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 
-def replay(log, batches, folder, start):
-    """Append the lines of each batch number to ``folder`` and let the stream catch up.
+def replay(log, batches, folder, *starts):
+    """Append the lines of each batch number to ``folder`` and let the streams catch up.
 
-    ``log`` has ``batch`` and ``value``; ``start()`` starts a query that takes all new files as
-    one micro-batch and stops, so every round also resumes from its checkpoint.
+    ``log`` has ``batch`` and ``value``; each of ``starts`` starts a query that takes all new files
+    as one micro-batch and stops, so every round also resumes from its checkpoint.
     """
     for batch in batches:
         log.filter(F.col("batch") == batch).select("value").write.mode("append").text(folder)
-        query = start()
-        query.awaitTermination()
+        for query in [start() for start in starts]:
+            query.awaitTermination()

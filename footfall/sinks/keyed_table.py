@@ -60,10 +60,12 @@ class KeyedTable:
         self.write(df.dropDuplicates(self.keys).join(known, self.keys, "left_anti"), commit_id)
 
     def _store(self, df, first, last):
-        writer = df.write.mode("overwrite")
         if self.partition_by:
-            writer = writer.partitionBy(self.partition_by)
-        writer.parquet(f"{self.path}/{_SPAN}={first}_{last}")
+            # Few files per folder; a folder that holds most of the rows is still split over tasks.
+            writer = df.hint("rebalance", self.partition_by).write.partitionBy(self.partition_by)
+        else:
+            writer = df.write
+        writer.mode("overwrite").parquet(f"{self.path}/{_SPAN}={first}_{last}")
 
     def _fold(self, first, last):
         # Narrower folders stay in place, so the fold never reads what it writes.

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from footfall.functions.text import to_long
-from footfall.functions.times import format_date, millis_to_timestamp
+from footfall.functions.times import millis_to_timestamp
 
 
 def kafka_options(brokers, topics):
@@ -44,23 +44,14 @@ def _fields(lines, keep=()):
 
 
 def parse_ad_log(lines, *keep):
-    """Clicks of the well-formed lines, with the time parts every ad statistic is keyed by.
+    """Clicks of the well-formed lines: time, province, city, user, ad.
 
-    ``event_time`` keeps the full instant; ``date``, ``hour`` and ``minute`` are its parts.
-    Of the other columns of ``lines`` those named in ``keep`` are carried along.
+    ``event_time`` is the instant of the click. Of the other columns of ``lines`` those named in ``keep`` are carried along.
     """
     good = _fields(lines, keep).filter(F.col("reason").isNull())
-    return good.select(*keep, "event_time", *_time_parts(), "province", "city", "user_id", "ad_id")
+    return good.select(*keep, "event_time", "province", "city", "user_id", "ad_id")
 
 
 def rejected_lines(lines):
     """The lines ``parse_ad_log`` leaves out, each with its reason."""
     return _fields(lines).filter(F.col("reason").isNotNull()).select("value", "reason")
-
-
-def _time_parts():
-    return (
-        format_date("event_time").alias("date"),
-        F.date_format("event_time", "HH").alias("hour"),
-        F.date_format("event_time", "mm").alias("minute"),
-    )

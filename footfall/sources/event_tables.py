@@ -6,6 +6,11 @@ error = plain page visit.
 
 from pyspark.sql import functions as F
 
+from footfall.operators.joins import is_small
+
+# Whether the city table of a folder was found small enough to broadcast.
+_SMALL_CITIES = {}
+
 
 class EventTables:
     """Input tables over a folder of Parquet files; each property is a fresh lazy frame."""
@@ -92,11 +97,15 @@ class EventTables:
     @property
     def cities(self):
         nation, region = self.raw("nation"), self.raw("region")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        cities = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
             F.col("n_nationkey").cast("bigint").alias("city_id"),
             F.col("n_name").alias("city_name"),
             F.col("r_name").alias("area"),
         )
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _SMALL_CITIES:
+            _SMALL_CITIES[key] = is_small(nation)
+        return F.broadcast(cities) if _SMALL_CITIES[key] else cities
 
     def ad_log(self, *extra):
         """The ad-click log as text lines; ``extra`` columns over the event log come first."""

@@ -56,8 +56,13 @@ def _on_days_of(batch):
 def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K.TOP_ADS, publish=None):
     """Count one micro-batch. Running it again with the same ``batch_id`` changes nothing."""
     # Counting at the finest grain first collapses a busy user's clicks before any shuffle by user.
-    finest = ads.USER_KEYS + ["hour", "minute", "province", "city"]
-    counted = parse_ad_log(lines).groupBy(*finest).agg(F.count("*").alias("click_count"))
+    places = ["province", "city", "user_id", "ad_id"]
+    counted = (
+        parse_ad_log(lines)
+        .groupBy(F.date_trunc("minute", "event_time").alias("_m"), *places)
+        .agg(F.count("*").alias("click_count"))
+        .select(*ads.minute_parts("_m"), *places, "click_count")
+    )
     listed = store.blacklist.rows(before=batch_id)
     accepted = ads.drop_blacklisted(counted, listed).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -37,13 +37,7 @@ def running_city_counts(clicks, lateness="1 day"):
 def running_minute_counts(clicks, lateness="2 hours"):
     """Count per minute and ad; a late click within ``lateness`` corrects its own minute."""
     counts = _running(clicks, lateness, "1 minute", ["ad_id"])
-    return counts.select(
-        format_date("_start").alias("date"),
-        F.date_format("_start", "HH").alias("hour"),
-        F.date_format("_start", "mm").alias("minute"),
-        "ad_id",
-        "click_count",
-    )
+    return counts.select(*ads.minute_parts("_start"), "ad_id", "click_count")
 
 
 def counter_table(spark, path, name):
