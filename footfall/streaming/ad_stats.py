@@ -40,7 +40,8 @@ class AdStatsStore:
 
     def rejected(self):
         """All rejected lines so far."""
-        return self.spark.read.schema(schemas.AD_LOG_REJECT).parquet(self.rejects)
+        rejects = self.spark.read.schema(schemas.AD_LOG_REJECT).parquet(self.rejects)
+        return rejects.select(*schemas.AD_LOG_REJECT.names)
 
 
 def _sum(counts, keys):
