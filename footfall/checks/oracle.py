@@ -300,7 +300,7 @@ ORACLE = {
         f"SELECT {_ACTION_COLUMNS} FROM user_visit_action WHERE date BETWEEN '{_FIRST_DAY}' AND '{_LAST_DAY}'",
         "user_visit_action",
     ),
-    "scan_product_clicks": _sql(
+    "scan_clicks": _sql(
         "SELECT city_id, click_product_id AS product_id FROM user_visit_action WHERE click_product_id IS NOT NULL "
         f"AND date BETWEEN '{_FIRST_DAY}' AND '{_LAST_DAY}'",
         "user_visit_action",

@@ -11,9 +11,9 @@ from footfall.plans.product_job import run_product_job
 from footfall.plans.replay import replay
 from footfall.plans.session_job import filtered_sessions, run_session_job
 from footfall.sinks import tables as sinks
+from footfall.sources import tables
 from footfall.sources.ad_log import ad_log_stream, parse_ad_log, rejected_lines
 from footfall.sources.event_tables import EventTables
-from footfall.sources.tables import scan_actions, scan_clicks
 from footfall.streaming import counters
 from footfall.streaming.ad_stats import AdStatsStore, run_ad_stats
 from footfall.workdir import new_dir
@@ -55,16 +55,16 @@ def _as_text(df):
 
 @query
 def scan_actions_by_date(t):
-    return _as_text(scan_actions(t.actions, *P.SOME_DAYS))
+    return _as_text(tables.scan_actions(t.actions, *P.SOME_DAYS))
 
 
 @query
-def scan_product_clicks(t):
-    return scan_clicks(t.actions, *P.SOME_DAYS)
+def scan_clicks(t):
+    return tables.scan_clicks(t.actions, *P.SOME_DAYS)
 
 
 def _clicks(t):
-    return scan_clicks(t.actions, *P.ALL_DAYS)
+    return tables.scan_clicks(t.actions, *P.ALL_DAYS)
 
 
 @query
@@ -529,17 +529,17 @@ def _running(t, name):
     key = (t.spark.sparkContext.applicationId, t.folder, "running")
     if key not in _REPLAYED:
         root = new_dir(t.spark, "running-counts")
-        tables = {n: counters.counter_table(t.spark, f"{root}/{n}", n) for n in _RUNNING}
+        kept = {n: counters.counter_table(t.spark, f"{root}/{n}", n) for n in _RUNNING}
 
         def starter(n):
             clicks = parse_ad_log(ad_log_stream(t.spark, "text", f"{root}/log"))
             return lambda: counters.keep_counts(
-                _RUNNING[n](clicks), tables[n], f"{root}/checkpoint-{n}", available_now=True
+                _RUNNING[n](clicks), kept[n], f"{root}/checkpoint-{n}", available_now=True
             )
 
         t.spark.createDataFrame([], schemas.AD_LOG).write.text(f"{root}/log")
-        _replay_log(t, f"{root}/log", *[starter(n) for n in tables])
-        _REPLAYED[key] = tables
+        _replay_log(t, f"{root}/log", *[starter(n) for n in kept])
+        _REPLAYED[key] = kept
     return _REPLAYED[key][name].read()
 
 

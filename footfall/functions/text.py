@@ -1,5 +1,7 @@
 """String helpers as Column expressions."""
 
+import re
+
 from pyspark.sql import functions as F
 
 
@@ -18,7 +20,9 @@ def is_not_empty(c):
 
 def trim_comma(c):
     """Drop at most one comma from each side."""
-    return F.regexp_replace(_col(c), r"\A,|,\z", "")
+    c = _col(c)
+    left = F.when(F.startswith(c, F.lit(",")), F.substr(c, F.lit(2))).otherwise(c)
+    return F.when(F.endswith(left, F.lit(",")), F.left(left, F.length(left) - 1)).otherwise(left)
 
 
 def zero_fill(c):
@@ -39,7 +43,7 @@ def to_long(c):
 
 def split_list(c, sep=","):
     """Non-empty elements of a separated list; null stays null."""
-    return F.filter(F.split(_col(c), _quote(sep)), lambda e: e != "")
+    return F.array_remove(F.split(_col(c), _quote(sep)), "")
 
 
 def is_real_list(c):
@@ -47,12 +51,6 @@ def is_real_list(c):
     return ~F.lower(F.coalesce(_col(c), F.lit(""))).isin("", "null")
 
 
-def id_list(c):
-    """Comma list to the array of its ids; blanks and unparsable entries are left out."""
-    ids = F.transform(split_list(c), lambda e: F.trim(e).try_cast("bigint"))
-    return F.filter(ids, lambda e: e.isNotNull())
-
-
 def sorted_csv(array):
     """Array to comma-joined text in sorted order; an empty array gives the empty string."""
     return F.array_join(F.array_sort(_col(array)), ",")
@@ -79,12 +77,8 @@ def encode_kv(fields, sep="|"):
 
 def kv_get(c, field, sep="|"):
     """Value of ``field`` in packed text: the first pair that has a name and a non-empty value."""
-    pairs = F.transform(F.split(_col(c), _quote(sep)), lambda e: F.split(e, "="))
-    hits = F.filter(
-        pairs,
-        lambda p: (F.size(p) == 2) & (F.element_at(p, 1) == field) & (F.element_at(p, 2) != ""),
-    )
-    return F.element_at(F.get(hits, F.lit(0)), 2)
+    pair = rf"(?:\A|[{sep}]){re.escape(field)}=([^={sep}]+)(?=[{sep}]|\z)"
+    return F.nullif(F.regexp_extract(_col(c), pair, 1), F.lit(""))
 
 
 def kv_set(c, field, value, sep="|"):

@@ -146,20 +146,24 @@ def visited_in_sessions(actions, sessions):
 
 def _events(actions):
     """One row per (category, kind) an action touches."""
+    lists = actions.select(
+        F.stack(
+            F.lit(3),
+            F.lit("click"),
+            F.col("click_category_id").cast("string"),
+            F.lit("order"),
+            F.col("order_category_ids"),
+            F.lit("pay"),
+            F.col("pay_category_ids"),
+        ).alias("kind", "ids")
+    )
+    return _ids_of(lists.filter(text.is_real_list("ids")), "ids", "kind")
 
-    def tagged(ids, kind):
-        return F.transform(ids, lambda i: F.struct(i.alias("category_id"), F.lit(kind).alias("kind")))
-
-    def ids_of(column):
-        return F.coalesce(
-            F.when(text.is_real_list(column), text.id_list(column)), F.array().cast("array<bigint>")
-        )
 
-    click = F.filter(F.array("click_category_id"), lambda e: e.isNotNull())
-    events = F.concat(
-        tagged(click, "click"), tagged(ids_of("order_category_ids"), "order"), tagged(ids_of("pay_category_ids"), "pay")
-    )
-    return actions.select(F.explode(events).alias("_e")).select("_e.category_id", "_e.kind")
+def _ids_of(rows, column, *keep):
+    """One row per id in a comma list; entries that are not ids are left out."""
+    entries = rows.select(*keep, F.explode(text.split_list(column)).alias("_id"))
+    return entries.select(*keep, text.to_long("_id").alias("category_id")).filter(F.col("category_id").isNotNull())
 
 
 def visited_categories(actions):
@@ -177,8 +181,7 @@ def click_category_counts(actions):
 
 def _list_counts(actions, column, alias):
     return (
-        actions.filter(text.is_real_list(column))
-        .select(F.explode(text.id_list(column)).alias("category_id"))
+        _ids_of(actions.filter(text.is_real_list(column)), column)
         .groupBy("category_id")
         .agg(F.count("*").alias(alias))
     )

@@ -21,18 +21,20 @@ def ad_log_stream(spark, fmt="text", path=None, **options):
 
 def _fields(lines, keep=()):
     part = F.split(F.rtrim(F.col("value")), " ")
+    fields = F.struct(
+        F.size("_part").alias("_size"),
+        to_long(F.get("_part", F.lit(0))).alias("_millis"),
+        F.get("_part", F.lit(1)).alias("province"),
+        F.get("_part", F.lit(2)).alias("city"),
+        to_long(F.get("_part", F.lit(3))).alias("user_id"),
+        to_long(F.get("_part", F.lit(4))).alias("ad_id"),
+    )
+    # Without the generator between them, the optimizer would push the tests on the fields below
+    # the split and split each line once per test.
     return (
         lines.select(*keep, "value", part.alias("_part"))
-        .select(
-            *keep,
-            "value",
-            F.size("_part").alias("_size"),
-            millis_to_timestamp(to_long(F.get("_part", F.lit(0)))).alias("event_time"),
-            F.get("_part", F.lit(1)).alias("province"),
-            F.get("_part", F.lit(2)).alias("city"),
-            to_long(F.get("_part", F.lit(3))).alias("user_id"),
-            to_long(F.get("_part", F.lit(4))).alias("ad_id"),
-        )
+        .select(*keep, "value", F.inline(F.array(fields)))
+        .withColumn("event_time", millis_to_timestamp("_millis"))
         .withColumn(
             "reason",
             F.when(F.coalesce(F.col("_size"), F.lit(-1)) != 5, "field count")

@@ -10,6 +10,8 @@ from footfall.operators.joins import is_small
 
 # Whether the city table of a folder was found small enough to broadcast.
 _SMALL_CITIES = {}
+# Schemas read from the files once, so that later reads need no job to infer them.
+_SCHEMAS = {}
 
 
 class EventTables:
@@ -20,7 +22,11 @@ class EventTables:
         self.folder = folder
 
     def raw(self, name):
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def _events(self):
         return self.raw("events").select(
@@ -29,7 +35,7 @@ class EventTables:
             "user_id",
             "event_type",
             F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-            F.date_format("ts", "yyyy-MM-dd").alias("day"),
+            F.col("ts").cast("date").cast("string").alias("day"),
         )
 
     def _actions(self, *extra):

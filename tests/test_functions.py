@@ -41,10 +41,6 @@ def test_split_list_drops_blanks(apply):
     assert apply(["a b", "x_y"], lambda c: text.split_list(c, " ")) == [["a", "b"], ["x_y"]]
 
 
-def test_id_list_skips_what_does_not_parse(apply):
-    assert apply(["1, 2,x,,30", "", None], text.id_list) == [[1, 2, 30], [], None]
-
-
 def test_real_list(apply):
     assert apply(["1,2", "", "null", "NULL", None], text.is_real_list) == [True, False, False, False, False]
 

@@ -114,7 +114,7 @@ def test_one_sided_age(actions, users):
 
 CATEGORY_ROWS = [
     dict(category=1), dict(category=1), dict(category=None), dict(order="1,2"), dict(order="2"), dict(order=""),
-    dict(order="null"), dict(order="NULL"), dict(pay="3"), dict(pay=None), dict(category=4, pay="4"),
+    dict(order="null"), dict(order="NULL"), dict(order="x,,"), dict(pay="3"), dict(pay=None), dict(category=4, pay="4"),
 ]
 
 
