@@ -486,9 +486,10 @@ def _live(t):
     return _REPLAYED[key]
 
 
-def _replay_log(t, folder, *starts):
-    log = t.ad_log(P.batch_number("ts").alias("batch"))
-    numbers = t.raw("events").select(P.batch_number("ts").alias("batch")).distinct().collect()
+def _replay_log(t, folder, *starts, days=P.BATCH_DAYS):
+    batch = P.batch_number("ts", days).alias("batch")
+    log = t.ad_log(batch)
+    numbers = t.raw("events").select(batch).distinct().collect()
     replay(log, sorted(r["batch"] for r in numbers), folder, *starts)
 
 
@@ -534,11 +535,15 @@ def _running(t, name):
         def starter(n):
             clicks = parse_ad_log(ad_log_stream(t.spark, "text", f"{root}/log"))
             return lambda: counters.keep_counts(
-                _RUNNING[n](clicks), kept[n], f"{root}/checkpoint-{n}", available_now=True
+                _RUNNING[n](clicks),
+                kept[n],
+                f"{root}/checkpoint-{n}",
+                available_now=True,
+                partitions=t.spark.sparkContext.defaultParallelism,
             )
 
         t.spark.createDataFrame([], schemas.AD_LOG).write.text(f"{root}/log")
-        _replay_log(t, f"{root}/log", *[starter(n) for n in kept])
+        _replay_log(t, f"{root}/log", *[starter(n) for n in kept], days=9)
         _REPLAYED[key] = kept
     return _REPLAYED[key][name].read()
 

@@ -49,11 +49,12 @@ SLOT_ROWS = 500
 # The blacklist limit that the given log reaches; the product default is 100.
 THRESHOLD = 2
 # A micro-batch covers four and a half days, so that days are split between batches.
-BATCH_SECONDS = 388_800
+BATCH_DAYS = 4.5
+BATCH_SECONDS = int(BATCH_DAYS * 86_400)
 FIRST_SECOND = 1_704_067_200
 SECOND_HALF = 4
 
 
-def batch_number(ts):
+def batch_number(ts, days=BATCH_DAYS):
     seconds = F.unix_seconds(F.col(ts).cast("timestamp")) - FIRST_SECOND
-    return F.floor(seconds / BATCH_SECONDS)
+    return F.floor(seconds / int(days * 86_400))

@@ -6,6 +6,7 @@ minute, that key is dropped from the state and still later clicks on it are igno
 
 from pyspark.sql import functions as F
 
+from footfall import constants as K
 from footfall import schemas
 from footfall.functions.times import format_date
 from footfall.operators import ads
@@ -50,12 +51,23 @@ def counter_table(spark, path, name):
     return KeyedTable(spark, path, schema, keys, REPLACE, partition_by="date")
 
 
-def keep_counts(counts, table, checkpoint, interval="5 seconds", available_now=False):
-    """Start a query that keeps ``table`` equal to the running counts."""
+def keep_counts(counts, table, checkpoint, interval=K.BATCH_INTERVAL, available_now=False, partitions=None):
+    """Start a query that keeps ``table`` equal to the running counts.
+
+    ``partitions`` is the number of state partitions. It is fixed by the first run on a checkpoint
+    and, unlike that of a batch shuffle, not adapted at run time, so size it for the full state;
+    by default it is the session's ``spark.sql.shuffle.partitions``.
+    """
     writer = (
         counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda rows, batch_id: table.write(rows, batch_id))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    return writer.start()
+    conf, name = counts.sparkSession.conf, "spark.sql.shuffle.partitions"
+    usual = conf.get(name)
+    conf.set(name, str(partitions or usual))
+    try:
+        return writer.start()
+    finally:
+        conf.set(name, usual)
