@@ -357,14 +357,15 @@ def ad_recent_trend(t):
 @query
 def blacklist_replay(t):
     """First offending batch per user, were the log streamed in batches."""
-    return ads.first_offences(_numbered_clicks(t), P.THRESHOLD)
+    return ads.first_offences(ads.batch_counts(_numbered_clicks(t)), P.THRESHOLD)
 
 
 @query
 def blacklist_replay_accepted(t):
     """Clicks per city that such a live run counts."""
-    clicks = _numbered_clicks(t)
-    return ads.city_click_counts(ads.accepted_clicks(clicks, ads.first_offences(clicks, P.THRESHOLD)))
+    counts = ads.batch_counts(_numbered_clicks(t))
+    accepted = ads.accepted_counts(counts, ads.first_offences(counts, P.THRESHOLD))
+    return accepted.groupBy(*ads.CITY_KEYS).agg(F.sum("click_count").alias("click_count"))
 
 
 # -- jobs and sinks

@@ -89,16 +89,30 @@ def recent_trend(trend, now=None, minutes=K.TREND_MINUTES):
     return trend.filter(F.col("date").between(start[:10], now[:10]) & minute_of().between(start, now))
 
 
-def first_offences(clicks, threshold=K.BLACKLIST_THRESHOLD):
+def batch_counts(clicks):
+    """Clicks per batch, day, place, user and ad; ``clicks`` carries a batch number ``batch``.
+
+    Both parts of a replay start from this frame, in which a busy user's clicks are few rows.
+    """
+    keys = ["province", "city", "user_id", "ad_id"]
+    counts = clicks.groupBy("batch", F.to_date("event_time").alias("_day"), *keys).agg(
+        F.count("*").alias("click_count")
+    )
+    return counts.select("batch", F.col("_day").cast("string").alias("date"), *keys, "click_count")
+
+
+def first_offences(counts, threshold=K.BLACKLIST_THRESHOLD):
     """``user_id, first_batch``: the batch in which a user first exceeded the threshold.
 
-    ``clicks`` carries a batch number ``batch``. Clicks before the first offence are never
-    dropped, so the running count of all clicks finds the same batch as a live run would.
+    Clicks before the first offence are never dropped, so the running count of all clicks finds
+    the same batch as a live run would.
     """
-    keys = [F.to_date("event_time").alias("_day"), F.col("user_id"), F.col("ad_id")]
-    per_batch = clicks.groupBy("batch", *keys).agg(F.count("*").alias("_n"))
+    # Partitioning without the batch serves this grouping and the window after it.
+    per_key = counts.repartition(*USER_KEYS)
+    per_batch = per_key.groupBy("batch", *USER_KEYS).agg(F.sum("click_count").alias("_n"))
+    # One row per batch of one day: the window's groups stay short however busy the user.
     running = F.sum("_n").over(
-        Window.partitionBy("_day", "user_id", "ad_id").orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*USER_KEYS).orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         per_batch.withColumn("_total", running)
@@ -108,7 +122,7 @@ def first_offences(clicks, threshold=K.BLACKLIST_THRESHOLD):
     )
 
 
-def accepted_clicks(clicks, offences):
-    """Clicks a live run would count: those up to and including the user's first offending batch."""
-    late = (F.col("first_batch").isNull()) | (F.col("batch") <= F.col("first_batch"))
-    return clicks.join(offences, "user_id", "left").filter(late).drop("first_batch")
+def accepted_counts(counts, offences):
+    """Counts a live run would make: those up to and including a user's first offending batch."""
+    in_time = F.col("first_batch").isNull() | (F.col("batch") <= F.col("first_batch"))
+    return counts.join(offences, "user_id", "left").filter(in_time).drop("first_batch")

@@ -8,20 +8,21 @@ def with_previous(df, key, order, value, slot, alias):
     """Add ``alias``: ``value`` of the row before this one in ``order`` within ``key``.
 
     ``slot`` is an expression that never decreases along ``order``. Rows are ordered within
-    (key, slot); the last value of each slot is then handed on to the first row of the next one.
-    A key that holds a large share of the rows is spread over as many tasks as it has slots.
+    (key, slot), and only the first row of each slot looks further back, to the last value of the
+    slot before. A key that holds a large share of the rows is spread over as many tasks as it has
+    slots; one task sees all rows of a slot or one row per slot of a key, never all rows of a key.
     """
-    rows = df.withColumn("_slot", slot)
-    ordered = Window.partitionBy(key, "_slot").orderBy(order)
-    rows = rows.withColumn("_prev", F.lag(value).over(ordered)).withColumn("_at", F.row_number().over(ordered))
-
-    last_of_slot = (
-        df.withColumn("_slot", slot)
-        .groupBy(key, "_slot")
-        .agg(F.max_by(value, order).alias("_last"))
-        .withColumn("_carry", F.lag("_last").over(Window.partitionBy(key).orderBy("_slot")))
-        .select(key, "_slot", "_carry")
+    within = Window.partitionBy(key, "_slot").orderBy(order)
+    whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = df.withColumn("_slot", slot).select(
+        "*",
+        F.lag(value).over(within).alias(alias),
+        F.row_number().over(within).alias("_at"),
+        F.last(value).over(whole).alias("_last"),
+    )
+    # Both halves read the same shuffle, which Spark runs once.
+    inner = rows.filter(F.col("_at") > 1)
+    first = rows.filter(F.col("_at") == 1).withColumn(
+        alias, F.lag("_last").over(Window.partitionBy(key).orderBy("_slot"))
     )
-    joined = rows.join(last_of_slot, [key, "_slot"], "left")
-    picked = F.when(F.col("_at") == 1, F.col("_carry")).otherwise(F.col("_prev"))
-    return joined.withColumn(alias, picked).drop("_slot", "_prev", "_at", "_carry")
+    return inner.unionByName(first).drop("_slot", "_at", "_last")

@@ -10,25 +10,41 @@ from footfall.functions.numbers import ratio
 from footfall.operators.ranking import sample_exact
 
 
-def _lengths():
-    start, end = F.min("action_time"), F.max("action_time")
+def _spans():
     return [
         F.min("user_id").alias("user_id"),
-        start.alias("start_time"),
-        end.alias("end_time"),
-        (times.whole_seconds(end) - times.whole_seconds(start)).alias("visit_length"),
+        F.min("action_time").alias("start_time"),
+        F.max("action_time").alias("end_time"),
         F.count("*").alias("step_length"),
     ]
 
 
+def _with_visit_length(sessions):
+    length = times.whole_seconds("end_time") - times.whole_seconds("start_time")
+    return sessions.withColumn("visit_length", length)
+
+
 def session_rollup(actions):
-    """One row per session: user, distinct keywords and clicked categories, start, end, lengths."""
+    """One row per session: user, distinct keywords and clicked categories, start, end, lengths.
+
+    Actions are first combined per (session, keyword, category), so the task that builds a
+    session's lists receives distinct values only, however many actions the session has.
+    """
     keyword = F.when(text.is_not_empty("search_keyword"), F.col("search_keyword"))
-    return actions.groupBy("session_id").agg(
-        *_lengths(),
-        F.array_sort(F.collect_set(keyword)).alias("search_keywords"),
-        F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
+    combined = actions.groupBy("session_id", keyword.alias("_keyword"), "click_category_id").agg(*_spans())
+    sessions = (
+        combined.repartition("session_id")
+        .groupBy("session_id")
+        .agg(
+            F.min("user_id").alias("user_id"),
+            F.min("start_time").alias("start_time"),
+            F.max("end_time").alias("end_time"),
+            F.sum("step_length").alias("step_length"),
+            F.array_sort(F.collect_set("_keyword")).alias("search_keywords"),
+            F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
+        )
     )
+    return _with_visit_length(sessions)
 
 
 def session_facts(actions, params):
@@ -44,7 +60,7 @@ def session_facts(actions, params):
     if params.category_ids is not None:
         wanted = F.col("click_category_id").isin(_ids(params.category_ids))
         hits.append(F.coalesce(F.bool_or(wanted), F.lit(False)).alias("category_hit"))
-    return actions.groupBy("session_id").agg(*_lengths(), *hits)
+    return _with_visit_length(actions.groupBy("session_id").agg(*_spans(), *hits))
 
 
 def enrich_sessions(sessions, users):

@@ -35,13 +35,6 @@ def _fields(lines, keep=()):
         lines.select(*keep, "value", part.alias("_part"))
         .select(*keep, "value", F.inline(F.array(fields)))
         .withColumn("event_time", millis_to_timestamp("_millis"))
-        .withColumn(
-            "reason",
-            F.when(F.coalesce(F.col("_size"), F.lit(-1)) != 5, "field count")
-            .when(F.col("event_time").isNull(), "timestamp")
-            .when(F.col("user_id").isNull(), "user id")
-            .when(F.col("ad_id").isNull(), "ad id"),
-        )
     )
 
 
@@ -50,10 +43,21 @@ def parse_ad_log(lines, *keep):
 
     ``event_time`` is the instant of the click. Of the other columns of ``lines`` those named in ``keep`` are carried along.
     """
-    good = _fields(lines, keep).filter(F.col("reason").isNull())
+    good = _fields(lines, keep).filter(
+        (F.col("_size") == 5)
+        & F.col("event_time").isNotNull()
+        & F.col("user_id").isNotNull()
+        & F.col("ad_id").isNotNull()
+    )
     return good.select(*keep, "event_time", "province", "city", "user_id", "ad_id")
 
 
 def rejected_lines(lines):
     """The lines ``parse_ad_log`` leaves out, each with its reason."""
-    return _fields(lines).filter(F.col("reason").isNotNull()).select("value", "reason")
+    reason = (
+        F.when(F.coalesce(F.col("_size"), F.lit(-1)) != 5, "field count")
+        .when(F.col("event_time").isNull(), "timestamp")
+        .when(F.col("user_id").isNull(), "user id")
+        .when(F.col("ad_id").isNull(), "ad id")
+    )
+    return _fields(lines).select("value", reason.alias("reason")).filter(F.col("reason").isNotNull())
