@@ -62,4 +62,4 @@ AD_BLACKLIST = _schema("user_id bigint")
 AD_STAT = _schema("date string, province string, city string, ad_id bigint, click_count bigint")
 AD_PROVINCE_TOP3 = _schema("date string, province string, ad_id bigint, click_count bigint")
 AD_CLICK_TREND = _schema("date string, hour string, minute string, ad_id bigint, click_count bigint")
-AD_LOG_REJECT = _schema("value string, reason string")
+AD_LOG_REJECT = _schema("value string, reason string, line_count bigint")

@@ -2,8 +2,9 @@
 
 Every commit adds one folder with its own rows and never touches older ones, so a write costs
 as much as the change it carries. Reading settles rows of the same key by the table's rule.
-Every ``fold_every`` commits are folded into one wider folder, and those into a still wider one,
-which keeps the number of folders a reader opens small.
+Every ``fold_every`` commits are folded into one wider folder, and those into a still wider one;
+the folders they replace are removed ``fold_every`` commits later. So the number of folders stays
+small, and readers in flight and the replay of recent commits still find theirs.
 """
 
 from pyspark.sql import functions as F
@@ -44,15 +45,19 @@ class KeyedTable:
 
         Under ``replace`` and ``first`` a key may occur once per commit.
         """
+        holding = [s for s in self._spans() if s[0] <= commit_id <= s[1]]
+        if holding and (commit_id, commit_id) not in holding:
+            raise ValueError(f"commit {commit_id} lies in a range already folded")
         numbered = df.select(*self.schema.names).withColumn(COMMIT, F.lit(commit_id).cast("bigint"))
         self._store(numbered, commit_id, commit_id)
-        due = {s for s in self._spans() if s[0] <= commit_id <= s[1] and s[0] < s[1]}
+        due = {s for s in holding if s[0] < s[1]}
         width = self.fold_every
         while (commit_id + 1) % width == 0:
             due.add((commit_id - width + 1, commit_id))
             width *= self.fold_every
         for first, last in sorted(due, key=lambda s: s[1] - s[0]):
             self._fold(first, last)
+        self._remove_folded(commit_id - self.fold_every)
 
     def insert_new(self, df, commit_id):
         """Store the rows of ``df`` whose key no earlier commit has."""
@@ -68,17 +73,25 @@ class KeyedTable:
         writer.mode("overwrite").parquet(f"{self.path}/{_SPAN}={first}_{last}")
 
     def _fold(self, first, last):
-        # Narrower folders stay in place, so the fold never reads what it writes.
-        parts = [s for s in self._spans() if first <= s[0] and s[1] <= last and s != (first, last)]
+        parts = _within(self._spans(), (first, last))
         if len(parts) > 1:
             self._store(self._settle(self._load(_cover(parts))), first, last)
 
+    def _remove_folded(self, before):
+        """Remove the folders that wider ones ending before commit ``before`` replace."""
+        spans = self._spans()
+        for span in {s for wide in spans if wide[1] < before for s in _within(spans, wide)}:
+            fs, folder = self._hadoop(f"{_SPAN}={span[0]}_{span[1]}")
+            fs.delete(folder, True)
+
     # -- reading
 
     def rows(self, before=None):
         """Unsettled rows of all commits, or of those numbered below ``before``."""
         spans = self._spans()
         if before is not None:
+            if any(s[0] < before <= s[1] and not _within(spans, s) for s in spans):
+                raise ValueError(f"commits before {before} can no longer be told apart")
             spans = [s for s in spans if s[1] < before]
         return self._load(_cover(spans))
 
@@ -114,19 +127,26 @@ class KeyedTable:
 
     def _spans(self):
         """(first, last) commit numbers of the completely written folders."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, root = self._hadoop()
         if not fs.exists(root):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
         found = []
-        for name in names:
-            if name.startswith(f"{_SPAN}=") and fs.exists(hadoop.Path(f"{self.path}/{name}/_SUCCESS")):
+        for name in [s.getPath().getName() for s in fs.listStatus(root)]:
+            if name.startswith(f"{_SPAN}=") and fs.exists(self._hadoop(f"{name}/_SUCCESS")[1]):
                 first, last = name.removeprefix(f"{_SPAN}=").split("_")
                 found.append((int(first), int(last)))
         return found
 
+    def _hadoop(self, name=""):
+        """File system and path of a folder or file of this table."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+
+def _within(spans, wide):
+    """The spans strictly inside ``wide``."""
+    return [s for s in spans if wide[0] <= s[0] and s[1] <= wide[1] and s != wide]
+
 
 def _cover(spans):
     """The widest non-overlapping folders that hold every commit once."""

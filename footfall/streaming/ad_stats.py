@@ -32,17 +32,12 @@ class AdStatsStore:
         self.city_counts = table("ad_stat", schemas.AD_STAT, ads.CITY_KEYS, ADD, "date")
         self.province_top = table("ad_province_top3", schemas.AD_PROVINCE_TOP3, ["date", "province"], GROUP)
         self.trend = table("ad_click_trend", schemas.AD_CLICK_TREND, ads.TREND_KEYS, ADD, "date")
-        self.rejects = f"{root}/ad_log_rejects"
+        self.rejects = table("ad_log_rejects", schemas.AD_LOG_REJECT, ["value", "reason"], ADD)
 
     def recent_trend(self, now=None, minutes=K.TREND_MINUTES):
         """Clicks per minute and ad over the last ``minutes`` minutes."""
         return ads.recent_trend(self.trend.read(), now, minutes)
 
-    def rejected(self):
-        """All rejected lines so far."""
-        rejects = self.spark.read.schema(schemas.AD_LOG_REJECT).parquet(self.rejects)
-        return rejects.select(*schemas.AD_LOG_REJECT.names)
-
 
 def _sum(counts, keys):
     return counts.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
@@ -64,6 +59,7 @@ def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K
         .agg(F.count("*").alias("click_count"))
         .select(*ads.minute_parts("_m"), *places, "click_count")
     )
+    rejected = rejected_lines(lines).groupBy("value", "reason").agg(F.count("*").alias("line_count"))
     listed = store.blacklist.rows(before=batch_id)
     accepted = ads.drop_blacklisted(counted, listed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -74,7 +70,7 @@ def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K
             lambda: store.user_counts.write(by_user, batch_id),
             lambda: store.city_counts.write(by_city, batch_id),
             lambda: store.trend.write(_sum(accepted, ads.TREND_KEYS), batch_id),
-            lambda: rejected_lines(lines).write.mode("overwrite").parquet(f"{store.rejects}/batch={batch_id}"),
+            lambda: store.rejects.write(rejected, batch_id),
         )
         _together(
             store.spark,

@@ -77,10 +77,26 @@ def test_folding_changes_no_result(spark, counts, folder, rule):
             table.write(counts((commit % 3, 1, commit + 1), (7, commit, 1)), commit)
     assert content(folded) == content(plain)
     assert content(folded) and len(_cover(folded._spans())) < len(_cover(plain._spans()))
-    for before in (0, 3, 8):
+    for before in (0, 7, 8):
         assert sorted(map(tuple, folded.read(before).collect())) == sorted(map(tuple, plain.read(before).collect()))
 
 
+def test_replaced_folders_go_and_old_commits_are_closed(spark, counts, folder):
+    table = KeyedTable(spark, folder, schemas.AD_USER_CLICK_COUNT, KEYS, "add", "date", fold_every=2)
+    for commit in range(8):
+        table.write(counts((1, 1, 10**commit)), commit)
+    assert sorted(table._spans()) == [
+        (0, 3), (0, 7), (4, 4), (4, 5), (4, 7), (5, 5), (6, 6), (6, 7), (7, 7),
+    ]
+    assert content(table) == [(1, 1, 11111111)]
+    with pytest.raises(ValueError, match="already folded"):
+        table.write(counts((1, 1, 5)), 0)
+    with pytest.raises(ValueError, match="told apart"):
+        table.read(before=1)
+    table.write(counts((1, 1, 0)), 7)
+    assert content(table) == [(1, 1, 1111111)]
+
+
 def test_rewriting_an_old_commit_reaches_its_folds(spark, counts, folder):
     table = KeyedTable(spark, folder, schemas.AD_USER_CLICK_COUNT, KEYS, "add", "date", fold_every=2)
     for commit in range(4):

@@ -41,12 +41,12 @@ def test_a_replayed_batch_changes_nothing(spark, folder, log):
     batches = [[line()] * 3 + ["bad"], [line()] * 2 + [line(user=2, ad=5)], [line(), line(user=2, ad=5)]]
     for number, lines in enumerate(batches):
         apply_batch(store, log(lines), number, threshold=3)
-    tables = (store.user_counts, store.blacklist, store.city_counts, store.province_top, store.trend)
-    before = [rows(t.read()) for t in tables] + [rows(store.rejected())]
+    tables = (store.user_counts, store.blacklist, store.city_counts, store.province_top, store.trend, store.rejects)
+    before = [rows(t.read()) for t in tables]
     for number in (1, 2):
         apply_batch(store, log(batches[number]), number, threshold=3)
-    assert [rows(t.read()) for t in tables] + [rows(store.rejected())] == before
-    assert rows(store.rejected()) == [("bad", "field count")]
+    assert [rows(t.read()) for t in tables] == before
+    assert rows(store.rejects.read()) == [("bad", "field count", 1)]
 
 
 def test_top_ads_follow_the_running_totals(spark, folder, log):
