@@ -1,6 +1,16 @@
 """Size checks that come before any broadcast hint."""
 
+from pyspark.sql import functions as F
+
 
 def is_small(df, max_rows=50_000):
     """Whether ``df`` has at most ``max_rows`` rows; reads no more than that many per partition."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df, max_rows=50_000):
+    """Hint a broadcast only for a frame counted to be small; a larger one is left to the planner.
+
+    Meant for lookup tables the planner has no size for, such as those of an outside database.
+    """
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from footfall import schemas
+from footfall.operators.joins import broadcast_if_small
 from footfall.operators.products import area_top_products
 from footfall.sources.tables import scan_clicks
 
 
 def area_product_report(actions, cities, products, params, task_id, **options):
     clicks = scan_clicks(actions, params.start_date, params.end_date)
-    top = area_top_products(clicks, cities, products, **options)
+    # Cities come from a database, whose size the planner cannot see.
+    top = area_top_products(clicks, broadcast_if_small(cities), products, **options)
     return top.withColumn("task_id", F.lit(task_id).cast("bigint")).select(*schemas.AREA_TOP3_PRODUCT.names)
 
 

@@ -136,6 +136,11 @@ def test_ratio_is_exact_for_large_counts(spark):
     assert df.first()[0] == 0.5
 
 
+def test_format_double(apply):
+    assert apply([1.005, 2.345, -1.5], lambda c: numbers.format_double(F.col(c), 1), "double") == [1.0, 2.3, -1.5]
+    assert apply([0.125], lambda c: numbers.format_double(F.col(c), 2), "double") == [0.13]
+
+
 def test_area_level(apply):
     names = ["China North", "China East", "China South", "China Middle", "West North", "West South", "Moon", None]
     assert apply(names, labels.area_level) == [

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from footfall.checks.queries import QUERIES
 from footfall.operators import ads
+from footfall.operators.joins import broadcast_if_small
 from footfall.operators.sessions import session_facts, top_categories
 from footfall.params import TaskParams
 from footfall.sources.tables import scan_actions, scan_clicks
@@ -76,6 +77,25 @@ def test_hot_user_is_split_in_the_blacklist_join(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_broadcast_is_hinted_only_below_the_limit(spark):
+    cities = spark.range(10).withColumnRenamed("id", "city_id")
+    clicks = spark.range(10).withColumnRenamed("id", "city_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_of(clicks.join(broadcast_if_small(cities, 10), "city_id"))
+        assert "SortMergeJoin" in plan_of(clicks.join(broadcast_if_small(cities, 9), "city_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_replay_and_look_back_read_the_log_once(spark):
+    for name in ("blacklist_replay_accepted", "action_hourly_profile"):
+        df = QUERIES[name](spark, SF)
+        df.collect()
+        assert "ReusedExchange" in plan_of(df)
+
+
 def test_staged_tables_live_in_the_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
