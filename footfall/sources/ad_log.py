@@ -6,6 +6,10 @@ from footfall.functions.text import to_long
 from footfall.functions.times import millis_to_timestamp
 
 
+# Columns of a click.
+CLICK = ["event_time", "province", "city", "user_id", "ad_id"]
+
+
 def kafka_options(brokers, topics):
     """Options for one or several topics."""
     topics = [topics] if isinstance(topics, str) else topics
@@ -41,7 +45,8 @@ def _fields(lines, keep=()):
 def parse_ad_log(lines, *keep):
     """Clicks of the well-formed lines: time, province, city, user, ad.
 
-    ``event_time`` is the instant of the click. Of the other columns of ``lines`` those named in ``keep`` are carried along.
+    ``event_time`` is the instant of the click. Of the other columns of ``lines`` those named in
+    ``keep`` are carried along.
     """
     good = _fields(lines, keep).filter(
         (F.col("_size") == 5)
@@ -49,15 +54,30 @@ def parse_ad_log(lines, *keep):
         & F.col("user_id").isNotNull()
         & F.col("ad_id").isNotNull()
     )
-    return good.select(*keep, "event_time", "province", "city", "user_id", "ad_id")
+    return good.select(*keep, *CLICK)
 
 
-def rejected_lines(lines):
-    """The lines ``parse_ad_log`` leaves out, each with its reason."""
-    reason = (
+def _reason():
+    return (
         F.when(F.coalesce(F.col("_size"), F.lit(-1)) != 5, "field count")
         .when(F.col("event_time").isNull(), "timestamp")
         .when(F.col("user_id").isNull(), "user id")
         .when(F.col("ad_id").isNull(), "ad id")
     )
-    return _fields(lines).select("value", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def rejected_lines(lines):
+    """The lines ``parse_ad_log`` leaves out, each with its reason."""
+    return _fields(lines).select("value", _reason().alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def sort_lines(lines):
+    """Clicks and rejects in one frame, for reading a log once.
+
+    A well-formed line fills the click columns, any other one ``value`` and ``reason``.
+    """
+    tagged = _fields(lines).withColumn("reason", _reason())
+    good = F.col("reason").isNull()
+    return tagged.select(
+        *[F.when(good, F.col(c)).alias(c) for c in CLICK], F.when(~good, F.col("value")).alias("value"), "reason"
+    )

@@ -13,7 +13,7 @@ from footfall import constants as K
 from footfall import schemas
 from footfall.operators import ads
 from footfall.sinks.keyed_table import ADD, FIRST, GROUP, KeyedTable
-from footfall.sources.ad_log import parse_ad_log, rejected_lines
+from footfall.sources.ad_log import sort_lines
 
 # Up to this many days a batch touches are named in the scan; beyond it the scan takes all days.
 MAX_NAMED_DAYS = 400
@@ -51,17 +51,19 @@ def _on_days_of(batch):
 
 def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K.TOP_ADS, publish=None):
     """Count one micro-batch. Running it again with the same ``batch_id`` changes nothing."""
-    # Counting at the finest grain first collapses a busy user's clicks before any shuffle by user.
-    places = ["province", "city", "user_id", "ad_id"]
+    # One pass over the lines. Counting at the finest grain first collapses a busy user's clicks
+    # before any shuffle by user; rejects have no user, so the blacklist leaves them alone.
+    grain = ["province", "city", "user_id", "ad_id", "value", "reason"]
     counted = (
-        parse_ad_log(lines)
-        .groupBy(F.date_trunc("minute", "event_time").alias("_m"), *places)
+        sort_lines(lines)
+        .groupBy(F.date_trunc("minute", "event_time").alias("_m"), *grain)
         .agg(F.count("*").alias("click_count"))
-        .select(*ads.minute_parts("_m"), *places, "click_count")
+        .select(*ads.minute_parts("_m"), *grain, "click_count")
     )
-    rejected = rejected_lines(lines).groupBy("value", "reason").agg(F.count("*").alias("line_count"))
     listed = store.blacklist.rows(before=batch_id)
-    accepted = ads.drop_blacklisted(counted, listed).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = ads.drop_blacklisted(counted, listed).persist(StorageLevel.MEMORY_AND_DISK)
+    accepted = kept.filter(F.col("reason").isNull())
+    rejected = kept.filter(F.col("reason").isNotNull()).withColumnRenamed("click_count", "line_count")
     try:
         by_user, by_city = _sum(accepted, ads.USER_KEYS), _sum(accepted, ads.CITY_KEYS)
         on_days = _on_days_of(accepted)
@@ -80,7 +82,7 @@ def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K
         if publish:
             _publish(store, batch_id, on_days, publish)
     finally:
-        accepted.unpersist()
+        kept.unpersist()
 
 
 def _totals(table, batch_id, on_days, touched=None):
