@@ -1 +1,8 @@
 """Operators that prepare text corpora for training. Nothing else in the package imports this one."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value: they need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

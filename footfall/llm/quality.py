@@ -42,6 +42,7 @@ RULES = (
     Rule("dup_lines", "n_dup_lines / greatest(n_lines, 1)", 0.05, 0.3),
     Rule("shouting", "n_upper / greatest(word_chars, 1)", 0.15, 0.5),
     Rule("exclaims", "n_exclaims / greatest(n_words, 1)", 0.05, 0.3),
+    Rule("punctuation", "1 - n_alnum / greatest(word_chars, 1)", 0.15, 0.25),
     Rule("long_words", "abs(word_chars / greatest(n_words, 1) - 6)", 3.0, 7.0),
 )
 
@@ -61,13 +62,14 @@ def base_statistics(docs, id_col="doc_id", text_col="text"):
         F.length(plain).cast("long").alias("word_chars"),
         (F.length(plain) - F.length(_without(plain, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.length(plain) - F.length(_without(plain, "!"))).cast("long").alias("n_exclaims"),
-        F.length(F.regexp_replace(plain, r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
+        F.length(F.regexp_replace(plain, r"\P{Lu}+", "")).cast("long").alias("n_upper"),
+        F.length(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", "")).cast("long").alias("n_alnum"),
         lines.alias("lines"),
         F.transform(words, lambda w: F.xxhash64(w)).alias("words"),
     )
     # inline() keeps a computed array from being evaluated again inside the lambdas above it.
     hashed = first.select(
-        "doc_id", "word_chars", "n_symbols", "n_exclaims", "n_upper",
+        *[c for c in first.columns if c not in ("lines", "words")],
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.inline(F.array(F.struct(F.col("words").alias("words")))),
@@ -175,19 +177,21 @@ def _weight(vote, on_good, on_bad):
 
 def judge(docs, rules=RULES, keep_at=0.5, id_col="doc_id", text_col="text"):
     """One row per document: base statistics, ``base_failed``, ``posterior`` and ``kept``."""
-    stats = stage(votes(base_statistics(docs, id_col, text_col), rules), "quality")
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    stats = votes(base_statistics(docs, id_col, text_col), rules).withColumn("base_failed", failed)
+    stats = stage(stats, "quality")
     names = [f"vote_{r.name}" for r in rules]
-    counts = stats.groupBy(*names).count().collect()  # at most 3^rules rows
+    # Documents already rejected would teach the rules nothing about the others.
+    counts = stats.filter("NOT base_failed").groupBy(*names).count().collect()  # at most 3^rules rows
     prior, shares = fit_rules([(tuple(r[:-1]), r[-1]) for r in counts], len(rules))
     odds = F.lit(math.log(prior / (1 - prior)))
     for name, s in zip(names, shares):
         good, none, bad = (_weight(v, *s) for v in (1, 0, -1))
         odds = odds + F.when(F.col(name) > 0, good).when(F.col(name) < 0, bad).otherwise(none)
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return stats.select(
         "doc_id",
         *BASE_COLUMNS,
-        failed.alias("base_failed"),
+        "base_failed",
         *names,
         (1 / (1 + F.exp(-odds))).alias("posterior"),
     ).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_at))
