@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from footfall.llm.common import BYTE_HASH, ngram_hash, sliding_min, stage, word_hashes, word_spans
+from footfall.llm.common import BYTE_HASH, ngram_hash, shuffle_partitions, sliding_min, stage, word_hashes, word_spans
 
 #: Bytes of run contents in one range partition, and windows sorted at once inside it.
 PART_BYTES, SORT_WINDOWS = 8 << 20, 50_000
@@ -164,7 +164,7 @@ def match_windows(units, earlier, contents, edges):
 
     ``contents``: arrays key, content, n, doc, row, first, windows and a list ``blob``. ``earlier``:
     a window goes if a smaller doc has it; otherwise if any other place has it. ``edges``: keys that
-    may go on in another partition. Returns rows of ``MATCH_SCHEMA`` as arrays.
+    may go on in another partition. Returns (columns of intervals, ``EDGE`` records).
     """
     count = contents["windows"]
     joint = (b" " if units.words else b"").join(contents["blob"])
@@ -188,25 +188,21 @@ def match_windows(units, earlier, contents, edges):
     gone = doc[src] < doc if earlier else weight[label] > 1
     if not earlier:
         gone &= contents["n"][owner] == 1  # a content that recurs as a whole is decided as a whole
-    out = [_intervals(contents, owner, offset, gone, doc[src], row[src], place[src], earlier)]
+    intervals = _intervals(contents, owner, offset, gone, doc[src], row[src], place[src], earlier)
     edge = np.isin(contents["key"], edges)[owner]
+    told = np.empty(0, EDGE)
     if edge.any():
-        out.append(_edges(units, contents, joint, begin, owner, offset, label, edge, gone, weight, source, doc, row, place, earlier))
-    return [np.concatenate(c) for c in zip(*out)]
+        told = _edges(units, contents, joint, begin, owner, offset, label, edge, gone, weight, source, doc, row, place, earlier)
+    return intervals, told
 
 
-MATCH_SCHEMA = (
-    "kind tinyint, key bigint, content bigint, low int, high int, h1 bigint, h2 bigint, weight bigint, "
-    "src_doc bigint, src_row bigint, src_place int"
-)
-INTERVAL, CLASS, OPEN = 0, 1, 2
-
-
-def _columns(kind, key, content, low, high, h1, h2, weight, src_doc, src_row, src_place):
-    n = len(key)
-    full = lambda x, t: np.broadcast_to(np.asarray(x, t), n)
-    return [full(kind, np.int8), key, content, full(low, np.int32), full(high, np.int32), full(h1, np.int64), full(h2, np.int64),
-            full(weight, np.int64), full(src_doc, np.int64), full(src_row, np.int64), full(src_place, np.int32)]
+INTERVAL_FIELDS = ["key", "content", "low", "high", "src_doc", "src_row", "src_place"]
+INTERVAL_SCHEMA = "key bigint, content bigint, low int, high int, src_doc bigint, src_row bigint, src_place int"
+INTERVAL_TYPES = [np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32]
+#: What a window at a partition's edge tells the others: its digest, how often it occurs, where, and
+#: whether its own fate is open.
+EDGE = np.dtype([(n, np.int64) for n in ("h1", "h2", "weight", "doc", "row", "place", "key", "content", "offset", "open")])
+MATCH_SCHEMA = INTERVAL_SCHEMA + ", shard int, edge binary"
 
 
 def _intervals(contents, owner, offset, gone, src_doc, src_row, src_place, earlier):
@@ -219,39 +215,55 @@ def _intervals(contents, owner, offset, gone, src_doc, src_row, src_place, earli
     low = w[cut]
     high = w[np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(w) - 1]])] if len(w) else w
     who = owner[low]
-    return _columns(INTERVAL, contents["key"][who], contents["content"][who], offset[low], offset[high], 0, 0, 0,
-                    src_doc[low], src_row[low], src_place[low])
+    values = (contents["key"][who], contents["content"][who], offset[low], offset[high], src_doc[low], src_row[low], src_place[low])
+    return [np.asarray(v, t) for v, t in zip(values, INTERVAL_TYPES)]
 
 
-def _edges(units, contents, joint, begin, owner, offset, label, edge, gone, weight, source, doc, row, place, earlier):
-    """Classes of the groups that may go on elsewhere, and the windows they leave open."""
-    start, end = (x for x in _joint_places(units, joint))
+def _edges(units, contents, joint, begin, owner, offset, label, entries, gone, weight, source, doc, row, place, earlier):
+    """``EDGE`` records of windows that may occur in another partition: one per class, one per open window."""
+    start, end = units.places(joint)
 
-    def digests(entries):
-        a = begin[owner[entries]] + offset[entries]
+    def of(chosen, weights, is_open):
+        a = begin[owner[chosen]] + offset[chosen]
         cuts = zip(start[a].tolist(), end[a + units.window - 1].tolist())
-        h = b"".join(hashlib.blake2b(joint[i:j], digest_size=16).digest() for i, j in cuts)
-        h = np.frombuffer(h, np.int64).reshape(-1, 2)
-        return h[:, 0], h[:, 1]
-
-    classes = np.unique(label[edge])
-    s = source[classes]
-    h1, h2 = digests(s)
-    who = owner[s]
-    known = _columns(CLASS, contents["key"][who], contents["content"][who], 0, 0, h1, h2, weight[classes], doc[s], row[s], place[s])
-    left = np.flatnonzero(edge & ~gone & (np.bool_(earlier) | (contents["n"][owner] == 1)))
-    h1, h2 = digests(left)
-    who = owner[left]
-    opened = _columns(OPEN, contents["key"][who], contents["content"][who], offset[left], offset[left], h1, h2, 0, doc[left], row[left], place[left])
-    return [np.concatenate(c) for c in zip(known, opened)]
-
-
-def _joint_places(units, joint):
-    return units.places(joint)
-
-
-def _match_partition(units, earlier):
-    names = [c.split()[0] for c in MATCH_SCHEMA.split(", ")]
+        digest = b"".join(hashlib.blake2b(joint[i:j], digest_size=16).digest() for i, j in cuts)
+        out = np.empty(len(chosen), EDGE)
+        out["h1"], out["h2"] = np.frombuffer(digest, np.int64).reshape(-1, 2).T
+        who = owner[chosen]
+        values = (weights, doc[chosen], row[chosen], place[chosen], contents["key"][who], contents["content"][who], offset[chosen], is_open)
+        for name, v in zip(EDGE.names[2:], values):
+            out[name] = v
+        return out
+
+    classes = np.unique(label[entries])
+    left = np.flatnonzero(entries & ~gone & (np.bool_(earlier) | (contents["n"][owner] == 1)))
+    return np.concatenate([of(source[classes], weight[classes], 0), of(left, 0, 1)])
+
+
+def _settle(earlier):
+    """Decides the open windows of one shard of edge records by all partitions' classes."""
+
+    def of_group(table):
+        edge = np.frombuffer(b"".join(table.column("edge").to_pylist()), EDGE)
+        edge = edge[np.lexsort((edge["place"], edge["row"], edge["doc"], edge["open"], edge["h2"], edge["h1"]))]
+        new = np.ones(len(edge), bool)
+        new[1:] = (edge["h1"][1:] != edge["h1"][:-1]) | (edge["h2"][1:] != edge["h2"][:-1])
+        window = np.cumsum(new) - 1
+        # Sorted so, the first record of a window is its class with the smallest place.
+        first = edge[new][window]
+        if earlier:
+            found = (edge["open"] == 1) & (first["doc"] < edge["doc"])
+        else:
+            found = (edge["open"] == 1) & (np.bincount(window, weights=edge["weight"])[window] > 1)
+        edge, first = edge[found], first[found]
+        values = (edge["key"], edge["content"], edge["offset"], edge["offset"], first["doc"], first["row"], first["place"])
+        return pa.table([pa.array(np.asarray(v, t)) for v, t in zip(values, INTERVAL_TYPES)], names=INTERVAL_FIELDS)
+
+    return of_group
+
+
+def _match_partition(units, earlier, shards):
+    names = [*INTERVAL_FIELDS, "shard", "edge"]
     fields = ["key", "content", "n", "doc", "row", "first", "windows"]
 
     def of_batches(batches):
@@ -277,13 +289,28 @@ def _match_partition(units, earlier):
             some = slice(change[at], change[to])
             part = {f: c[some] for f, c in columns.items()}
             part["blob"] = [b.as_py() for b in blobs[some]]
-            out = match_windows(units, earlier, part, edges)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in out], names=names)
+            out, told = match_windows(units, earlier, part, edges)
+            n = len(out[0])
+            if n:
+                nothing = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, out), *nothing], names=names)
+            if len(told):
+                yield _dealt(told, shards, names)
             at = to
 
     return of_batches
 
 
+def _dealt(told, shards, names):
+    """Edge records in one row for every shard they go to."""
+    shard = (told["h1"].view(np.uint64) % np.uint64(shards)).astype(np.int32)
+    order = np.argsort(shard, kind="stable")
+    numbers, at = np.unique(shard[order], return_index=True)
+    cut = [told[order[a:b]].tobytes() for a, b in zip(at, [*at[1:], len(order)])]
+    nothing = [pa.nulls(len(cut), pa.int64() if t == np.int64 else pa.int32()) for t in INTERVAL_TYPES]
+    return pa.RecordBatch.from_arrays([*nothing, pa.array(numbers), pa.array(cut, pa.binary())], names=names)
+
+
 def _fetch(units):
     """The contents of the runs listed with every text, and the symbols from their minimizer on."""
     names = ["key", "content", "n", "doc", "row", "first", "windows", "lead", "blob"]
@@ -363,19 +390,13 @@ def repeated_spans(docs, units, earlier, id_col="doc_id", text_col="text"):
     size = fetched.agg(F.sum(F.length("blob") + F.length("lead"))).first()[0] or 0
     ranged = fetched.repartitionByRange(max(1, -(-size // PART_BYTES)), "lead", "content")
     ranged = ranged.sortWithinPartitions("lead", "content").drop("lead")
-    matched = stage(ranged.mapInArrow(_match_partition(units, earlier), MATCH_SCHEMA), "matched")
-    across = matched.filter(F.col("kind") == CLASS).groupBy("h1", "h2").agg(
-        F.sum("weight").alias("places"), F.min(F.struct("src_doc", "src_row", "src_place")).alias("s")
-    )
-    across = stage(across, "across")
-    opened = matched.filter(F.col("kind") == OPEN).select(
-        "key", "content", "low", "high", F.col("src_doc").alias("own"), F.col("h1").alias("o1"), F.col("h2").alias("o2")
-    )
-    found = opened.join(across, (F.col("h1") == F.col("o1")) & (F.col("h2") == F.col("o2")))
-    found = found.filter((F.col("s.src_doc") < F.col("own")) if earlier else (F.col("places") > 1))
-    columns = ["key", "content", "low", "high", "src_doc", "src_row", "src_place"]
-    intervals = matched.filter(F.col("kind") == INTERVAL).select(*columns)
-    intervals = stage(intervals.union(found.select("key", "content", "low", "high", "s.*")), "intervals")
+    shards = shuffle_partitions(docs.sparkSession)
+    matched = stage(ranged.mapInArrow(_match_partition(units, earlier, shards), MATCH_SCHEMA), "matched")
+    # Windows at the partitions' edges travel in bulk, one row per partition and shard.
+    told = matched.filter("shard IS NOT NULL").select("shard", "edge")
+    settled = told.groupBy("shard").applyInArrow(_settle(earlier), INTERVAL_SCHEMA)
+    intervals = matched.filter("shard IS NULL").select(*INTERVAL_FIELDS).union(settled)
+    intervals = stage(intervals, "intervals")
     parts = resolved.filter("mixed").filter(~whole).join(intervals, ["key", "content"]).select(
         "row", "doc", (F.col("first") + F.col("low")).alias("first"), (F.col("first") + F.col("high")).alias("last"),
         "src_doc", "src_row", F.col("src_place").alias("src_first"),
