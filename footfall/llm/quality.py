@@ -51,14 +51,18 @@ def _without(col, chars):
     return F.translate(col, chars, "")
 
 
-def base_statistics(docs, id_col="doc_id", text_col="text"):
-    """One row per document with the base statistics and the counts the rules need."""
+def base_statistics(docs, id_col="doc_id", text_col="text", carry=False):
+    """One row per document with the base statistics and the counts the rules need.
+
+    ``carry`` keeps the whole row in a struct ``row``.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = _without(text, SPACES)
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(_without(line, SPACES)) > 0)
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
     first = docs.select(
         F.col(id_col).alias("doc_id"),
+        *([F.struct(*docs.columns).alias("row")] if carry else []),
         F.length(plain).cast("long").alias("word_chars"),
         (F.length(plain) - F.length(_without(plain, SYMBOLS))).cast("long").alias("n_symbols"),
         (F.length(plain) - F.length(_without(plain, "!"))).cast("long").alias("n_exclaims"),
@@ -175,10 +179,9 @@ def _weight(vote, on_good, on_bad):
     return math.log(on_good[vote + 1] / on_bad[vote + 1])
 
 
-def judge(docs, rules=RULES, keep_at=0.5, id_col="doc_id", text_col="text"):
-    """One row per document: base statistics, ``base_failed``, ``posterior`` and ``kept``."""
+def _judged(docs, rules, keep_at, id_col, text_col, carry):
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    stats = votes(base_statistics(docs, id_col, text_col), rules).withColumn("base_failed", failed)
+    stats = votes(base_statistics(docs, id_col, text_col, carry), rules).withColumn("base_failed", failed)
     stats = stage(stats, "quality")
     names = [f"vote_{r.name}" for r in rules]
     # Documents already rejected would teach the rules nothing about the others.
@@ -188,19 +191,16 @@ def judge(docs, rules=RULES, keep_at=0.5, id_col="doc_id", text_col="text"):
     for name, s in zip(names, shares):
         good, none, bad = (_weight(v, *s) for v in (1, 0, -1))
         odds = odds + F.when(F.col(name) > 0, good).when(F.col(name) < 0, bad).otherwise(none)
-    return stats.select(
-        "doc_id",
-        *BASE_COLUMNS,
-        "base_failed",
-        *names,
-        (1 / (1 + F.exp(-odds))).alias("posterior"),
-    ).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_at))
-
-
-def keep_good(docs, **settings):
-    """The rows of ``docs`` whose document is kept. Rows with a null id are judged with each other."""
-    verdict = judge(docs, **settings)
-    # A doc_id that stands on several rows is kept if each of its rows is.
-    kept = verdict.groupBy(F.col("doc_id").alias("__kept_id")).agg(F.every("kept").alias("__kept"))
-    kept = stage(kept.filter("__kept"), "kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
+    judged = stats.withColumn("posterior", 1 / (1 + F.exp(-odds)))
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= keep_at))
+
+
+def judge(docs, rules=RULES, keep_at=0.5, id_col="doc_id", text_col="text"):
+    """One row per document: base statistics, ``base_failed``, ``posterior`` and ``kept``."""
+    judged = _judged(docs, rules, keep_at, id_col, text_col, False)
+    return judged.select("doc_id", *BASE_COLUMNS, "base_failed", *[f"vote_{r.name}" for r in rules], "posterior", "kept")
+
+
+def keep_good(docs, rules=RULES, keep_at=0.5, id_col="doc_id", text_col="text"):
+    """The rows of ``docs`` that are kept. They are staged with their statistics, so nothing is joined."""
+    return _judged(docs, rules, keep_at, id_col, text_col, True).filter("kept").select("row.*")
