@@ -19,7 +19,6 @@ id of a component. An empty table gives no rows.
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Window, functions as F
@@ -30,8 +29,8 @@ from footfall.llm.graph import components
 SHINGLE = 3
 RADIUS = 2
 #: Fingerprints in one part of the index, and items in one leaf of a tree.
-PART_ROWS, LEAF_ROWS = 4_096, 8
-#: Upper bound of the number of parts; beyond 268 million fingerprints the parts grow instead.
+PART_ROWS, LEAF_ROWS = 2_048, 8
+#: Upper bound of the number of parts; beyond 134 million fingerprints the parts grow instead.
 MAX_PARTS = 65_536
 QUERIES_AT_ONCE = 4_096
 
@@ -145,15 +144,15 @@ def spanning_links(a, b):
 
 def _search_part(index, probes):
     """Links between the fingerprints of one part and those sent to it."""
-    none = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    if not len(index) or not len(probes):
+    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    if not index.num_rows or not probes.num_rows:
         return none
-    fps = index["fp"].to_numpy()[np.argsort(index["rank"].to_numpy())].view(np.uint64)
-    queries = probes["probe"].to_numpy().view(np.uint64)
+    fps = index.column("fp").to_numpy()[np.argsort(index.column("rank").to_numpy())].view(np.uint64)
+    queries = np.frombuffer(b"".join(probes.column("probes").to_pylist()), np.uint64)
     q, place = probe(fps, fps, queries)
     a, b = queries[q].view(np.int64), fps[place].view(np.int64)
     a, b = spanning_links(a[a != b], b[a != b])
-    return pd.DataFrame({"a": a, "b": b})
+    return pa.table({"a": a, "b": b})
 
 
 def links(prints):
@@ -176,12 +175,17 @@ def links(prints):
             own, to = part[who], numbers[item]
             # A pair of parts is searched from one side only, and every part from as many as it searches.
             send = (own == to) | ((own < to) == ((own + to) % 2 == 0)) & (own != to)
+            to, fp = to[send], fp[who[send]]
+            order = np.argsort(to, kind="stable")
+            targets, at = np.unique(to[order], return_index=True)
+            bulk = [fp[order[a:b]].tobytes() for a, b in zip(at, [*at[1:], len(order)])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(to[send].astype(np.int32)), pa.array(fp[who[send]])], names=["to", "probe"]
+                [pa.array(targets.astype(np.int32)), pa.array(bulk, pa.binary())], names=["to", "probes"]
             )
 
-    sent = ranged.select("part", "fp").mapInArrow(route, "to int, probe bigint")
-    return ranged.groupBy("part").cogroup(sent.groupBy("to")).applyInPandas(_search_part, "a bigint, b bigint")
+    # Fingerprints travel in bulk, one row per batch and part.
+    sent = ranged.select("part", "fp").mapInArrow(route, "to int, probes binary")
+    return ranged.groupBy("part").cogroup(sent.groupBy("to")).applyInArrow(_search_part, "a bigint, b bigint")
 
 
 def simhash_components(docs, id_col="doc_id", text_col="text"):
@@ -211,7 +215,8 @@ def keep_one_each(docs, id_col="doc_id", text_col="text"):
         F.min(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__keep"), F.count("*").alias("__rows")
     )
     keep = stage(named.filter("__keep").select("__id", "__rows"), "representatives")
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["__id"]))
+    # Half the corpus or more is kept: the list outgrows any broadcast, so the same join serves every size.
+    kept = docs.join(keep.hint("merge"), docs[id_col].eqNullSafe(keep["__id"]))
     # Only rows that share an id are compared; both branches read one exchange of the documents.
     once = kept.filter((F.col("__rows") == 1) | F.col("__id").isNull())
     several = kept.filter((F.col("__rows") > 1) & F.col("__id").isNotNull())
