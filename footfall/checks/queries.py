@@ -55,16 +55,16 @@ def _as_text(df):
 
 @query
 def scan_actions_by_date(t):
-    return _as_text(tables.scan_actions(t.actions, *P.SOME_DAYS))
+    return _as_text(tables.scan_actions(t.actions, *P.SOME_DAYS, time_column="action_time"))
 
 
 @query
 def scan_clicks(t):
-    return tables.scan_clicks(t.actions, *P.SOME_DAYS)
+    return tables.scan_clicks(t.click_actions, *P.SOME_DAYS, time_column="action_time")
 
 
 def _clicks(t):
-    return tables.scan_clicks(t.actions, *P.ALL_DAYS)
+    return tables.clicks(t.click_actions)
 
 
 @query
@@ -242,12 +242,12 @@ def _text_actions(t):
 
 @query
 def action_time_features(t):
-    return profiles.action_time_features(_text_actions(t), slot_rows=P.SLOT_ROWS)
+    return profiles.action_time_features(_text_actions(t))
 
 
 @query
 def action_hourly_profile(t):
-    return profiles.action_hourly_profile(profiles.action_time_features(_text_actions(t), slot_rows=P.SLOT_ROWS))
+    return profiles.action_hourly_profile(profiles.action_time_features(_text_actions(t)))
 
 
 @query

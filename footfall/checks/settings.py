@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from footfall.params import TaskParams
 
-ALL_DAYS = ("2024-01-01", "2024-12-31")
+# Every day a date can name: queries where a range is not the feature read whole tables.
+ALL_DAYS = ("0001-01-01", "9999-12-31")
 SOME_DAYS = ("2024-01-08", "2024-01-21")
 TASK_ID = 7
 
-AREA_LEVELS = {"ASIA": "A Level ", "EUROPE": "B Level ", "AMERICA": "C Level "}
+AREA_LEVELS = {"ASIA": "A Level", "EUROPE": "B Level", "AMERICA": "C Level"}
 OTHER_LEVEL = "D Level"
 
 
@@ -43,8 +44,6 @@ PROFILED_COLUMNS = [
     "pay_product_ids",
     "padded_ids",
 ]
-# Small, so that sessions of the test data cross slot borders.
-SLOT_ROWS = 500
 
 # The blacklist limit that the given log reaches; the product default is 100.
 THRESHOLD = 2

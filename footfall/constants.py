@@ -35,14 +35,14 @@ STEP_LENGTH_BUCKETS = {
     "60": (61, None),
 }
 
-# Area to level. The first three level labels end in a space.
+# Area to level.
 AREA_LEVELS = {
-    "China North": "A Level ",
-    "China East": "A Level ",
-    "China South": "B Level ",
-    "China Middle": "B Level ",
-    "West North": "C Level ",
-    "West South": "C Level ",
+    "China North": "A Level",
+    "China East": "A Level",
+    "China South": "B Level",
+    "China Middle": "B Level",
+    "West North": "C Level",
+    "West South": "C Level",
 }
 OTHER_AREA_LEVEL = "D Level"
 

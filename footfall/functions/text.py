@@ -67,14 +67,34 @@ def group_concat_distinct(c):
 
 
 def encode_kv(fields, sep="|"):
-    """Pack ``{name: column}`` as ``name=value|name=value``; nulls become empty values."""
+    """Pack ``{name: column}`` as ``name=value|name=value``; nulls become empty values.
+
+    ``%``, ``=`` and the separator inside values are written as percent codes; see ``kv_unescape``.
+    """
     parts = [
-        F.concat(F.lit(f"{name}="), F.coalesce(_col(c).cast("string"), F.lit("")))
+        F.concat(F.lit(f"{name}="), _kv_escape(F.coalesce(_col(c).cast("string"), F.lit("")), sep))
         for name, c in fields.items()
     ]
     return F.concat_ws(sep, *parts)
 
 
+def _kv_codes(sep):
+    return [("%", "%25"), ("=", "%3D"), *[(s, f"%{ord(s):02X}") for s in sep]]
+
+
+def _kv_escape(c, sep):
+    for plain, code in _kv_codes(sep):
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return c
+
+
+def kv_unescape(c, sep="|"):
+    """The value that ``encode_kv`` packed."""
+    for plain, code in reversed(_kv_codes(sep)):
+        c = F.replace(_col(c), F.lit(code), F.lit(plain))
+    return c
+
+
 def kv_get(c, field, sep="|"):
     """Value of ``field`` in packed text: the first pair that has a name and a non-empty value."""
     pair = rf"(?:\A|[{sep}]){re.escape(field)}=([^={sep}]+)(?=[{sep}]|\z)"

@@ -98,8 +98,8 @@ def encode_sessions(sessions):
 
 
 def decode_kv(df, column, fields, sep="|"):
-    """Packed text to typed columns; a field that is absent, empty or unparsable is null."""
+    """Text packed by ``encode_kv`` to typed columns; a field that is absent, empty or unparsable is null."""
     kept = [c for c in df.columns if c != column]
     return df.select(
-        *kept, *[text.kv_get(column, name, sep).try_cast(kind).alias(name) for name, kind in fields.items()]
+        *kept, *[text.kv_unescape(text.kv_get(column, n, sep), sep).try_cast(k).alias(n) for n, k in fields.items()]
     )

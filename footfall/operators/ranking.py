@@ -17,11 +17,13 @@ def top_n_per_group(df, group, order, n):
 def sample_exact(df, keys, n, seed=0, digest="xxhash64"):
     """``n`` rows without replacement, chosen by a seeded hash of the key columns.
 
-    ``digest="md5"`` hashes the text of the keys, which other engines can repeat.
+    ``digest="md5"`` hashes the text of the keys, which other engines can repeat. Rows equal in the
+    keys are ordered by all their other columns, so that every run draws the same rows.
     """
     if digest == "md5":
         parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
         draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     else:
         draw = F.xxhash64(F.lit(seed), *keys)
-    return df.orderBy(draw, *keys).limit(n)
+    others = [c for c in df.columns if c not in keys]
+    return df.orderBy(draw, *keys, *others).limit(n)

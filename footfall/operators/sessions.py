@@ -1,5 +1,6 @@
 """Session rollup, filters, length statistics and category counts."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -108,7 +109,8 @@ def filter_sessions(sessions, params, one_sided=False):
 
 
 def _ids(values):
-    return [int(v) for v in values if v.isdigit() and str(int(v)) == v]
+    """The ids among the texts: those a BIGINT would be written as."""
+    return [int(v) for v in values if re.fullmatch(r"-?(0|[1-9][0-9]*)", v) and -(1 << 63) <= int(v) < 1 << 63 and v != "-0"]
 
 
 def _overlaps(column, values, element):

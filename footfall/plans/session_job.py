@@ -12,7 +12,7 @@ from footfall.workdir import stage_table
 
 def filtered_sessions(actions, users, params, one_sided=False):
     """Sessions in the task's date range whose user and content pass its filters."""
-    facts = S.session_facts(actions, params)
+    facts = S.session_facts(scan_actions(actions, params.start_date, params.end_date), params)
     return S.filter_sessions(S.enrich_sessions(facts, users), params, one_sided)
 
 
@@ -28,7 +28,7 @@ def session_report(
     The filtered sessions feed two of them, so they are stored once, reduced to three columns.
     """
     in_range = scan_actions(actions, params.start_date, params.end_date)
-    chosen = filtered_sessions(in_range, users, params).select("session_id", "visit_length", "step_length")
+    chosen = filtered_sessions(actions, users, params).select("session_id", "visit_length", "step_length")
     chosen = stage_table(chosen, "filtered-sessions")
     categories = S.top_categories(S.category_counts(S.visited_in_sessions(in_range, chosen)))
     sampled = S.sample_actions(in_range, sample, seed, sample_keys, digest)

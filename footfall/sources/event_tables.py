@@ -6,10 +6,6 @@ error = plain page visit.
 
 from pyspark.sql import functions as F
 
-from footfall.operators.joins import is_small
-
-# Whether the city table of a folder was found small enough to broadcast.
-_SMALL_CITIES = {}
 # Schemas read from the files once, so that later reads need no job to infer them.
 _SCHEMAS = {}
 
@@ -38,7 +34,7 @@ class EventTables:
             F.col("ts").cast("date").cast("string").alias("day"),
         )
 
-    def _actions(self, *extra):
+    def _actions(self, *extra, kind=None):
         k, user = F.col("k"), F.col("user_id")
 
         def when(kind, value):
@@ -47,7 +43,10 @@ class EventTables:
         def text(c):
             return c.cast("string")
 
-        return self._events().select(
+        events = self._events()
+        if kind:
+            events = events.filter(F.col("event_type") == kind)
+        return events.select(
             *extra,
             F.col("day").alias("date"),
             "user_id",
@@ -68,6 +67,11 @@ class EventTables:
     def actions(self):
         return self._actions()
 
+    @property
+    def click_actions(self):
+        """The clicks alone; the test reaches the file scan."""
+        return self._actions(kind="click")
+
     @property
     def numbered_actions(self):
         """Actions with ``seq``, their position in the log."""
@@ -90,28 +94,20 @@ class EventTables:
     def products(self):
         size = F.col("p_size")
         info = F.concat(F.lit('{"product_status": '), (size % 2).cast("string"), F.lit("}"))
-        return (
-            self.raw("part")
-            .filter(F.col("p_partkey") % 10 != 9)
-            .select(
-                F.col("p_partkey").alias("product_id"),
-                F.col("p_name").alias("product_name"),
-                F.when(size % 5 != 0, info).alias("extend_info"),
-            )
+        return self.raw("part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("product_name"),
+            F.when(size % 5 != 0, info).alias("extend_info"),
         )
 
     @property
     def cities(self):
         nation, region = self.raw("nation"), self.raw("region")
-        cities = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
             F.col("n_nationkey").cast("bigint").alias("city_id"),
             F.col("n_name").alias("city_name"),
             F.col("r_name").alias("area"),
         )
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _SMALL_CITIES:
-            _SMALL_CITIES[key] = is_small(nation)
-        return F.broadcast(cities) if _SMALL_CITIES[key] else cities
 
     def ad_log(self, *extra):
         """The ad-click log as text lines; ``extra`` columns over the event log come first."""

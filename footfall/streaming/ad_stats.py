@@ -15,9 +15,6 @@ from footfall.operators import ads
 from footfall.sinks.keyed_table import ADD, FIRST, GROUP, KeyedTable
 from footfall.sources.ad_log import sort_lines
 
-# Up to this many days a batch touches are named in the scan; beyond it the scan takes all days.
-MAX_NAMED_DAYS = 400
-
 
 class AdStatsStore:
     """The result tables of the live statistics under one folder."""
@@ -43,10 +40,9 @@ def _sum(counts, keys):
     return counts.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
 
 
-def _on_days_of(batch):
-    """A filter for the days a batch touches, named literally so that folders are pruned."""
-    days = [r["date"] for r in batch.select("date").distinct().limit(MAX_NAMED_DAYS + 1).collect()]
-    return F.col("date").isin(days) if len(days) <= MAX_NAMED_DAYS else F.lit(True)
+def _days_of(batch):
+    """The days a batch touches, as a frame to join stored rows with, however many there are."""
+    return batch.select("date").distinct()
 
 
 def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K.TOP_ADS, publish=None):
@@ -66,7 +62,7 @@ def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K
     rejected = kept.filter(F.col("reason").isNotNull()).withColumnRenamed("click_count", "line_count")
     try:
         by_user, by_city = _sum(accepted, ads.USER_KEYS), _sum(accepted, ads.CITY_KEYS)
-        on_days = _on_days_of(accepted)
+        on_days = _days_of(accepted)
         _together(
             store.spark,
             lambda: store.user_counts.write(by_user, batch_id),
@@ -87,7 +83,7 @@ def apply_batch(store, lines, batch_id, threshold=K.BLACKLIST_THRESHOLD, top_n=K
 
 def _totals(table, batch_id, on_days, touched=None):
     """Running totals up to this batch, for the touched days and optionally for touched keys only."""
-    rows = table.rows(before=batch_id + 1).filter(on_days)
+    rows = table.rows(before=batch_id + 1).join(on_days, "date", "left_semi")
     if touched is not None:
         rows = rows.join(touched.select(*table.keys), table.keys, "left_semi")
     return _sum(rows, table.keys)

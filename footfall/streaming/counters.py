@@ -4,6 +4,9 @@ A watermark bounds the state: once the newest click is ``lateness`` past the end
 minute, that key is dropped from the state and still later clicks on it are ignored.
 """
 
+from datetime import datetime
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import functions as F
 
 from footfall import constants as K
@@ -13,8 +16,21 @@ from footfall.operators import ads
 from footfall.sinks.keyed_table import REPLACE, KeyedTable
 
 
+def _day_start(spark):
+    """Where days of the session's zone start in UTC, as an offset for ``window``.
+
+    Windows have one width and one offset, so a zone whose offset changes over the year is refused.
+    """
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    offsets = {datetime(year, month, 1, tzinfo=zone).utcoffset() for year in (1995, 2024) for month in range(1, 13)}
+    if len(offsets) > 1:
+        raise ValueError(f"days in {zone.key} differ in length; use a session zone with a fixed offset")
+    return f"{int(-offsets.pop().total_seconds()) % 86_400} seconds"
+
+
 def _running(clicks, lateness, width, keys):
-    window = F.window("event_time", width).alias("_w")
+    start = _day_start(clicks.sparkSession) if width == "1 day" else None
+    window = F.window("event_time", width, startTime=start).alias("_w")
     return (
         clicks.withWatermark("event_time", lateness)
         .groupBy(window, *keys)
@@ -24,7 +40,7 @@ def _running(clicks, lateness, width, keys):
 
 
 def running_user_counts(clicks, lateness="1 day"):
-    """Count per (date, user, ad) since the stream began; the days are those of a UTC session."""
+    """Count per (date, user, ad) since the stream began; days are those of the session's time zone."""
     counts = _running(clicks, lateness, "1 day", ["user_id", "ad_id"])
     return counts.select(format_date("_start").alias("date"), "user_id", "ad_id", "click_count")
 

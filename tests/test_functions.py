@@ -144,7 +144,7 @@ def test_format_double(apply):
 def test_area_level(apply):
     names = ["China North", "China East", "China South", "China Middle", "West North", "West South", "Moon", None]
     assert apply(names, labels.area_level) == [
-        "A Level ", "A Level ", "B Level ", "B Level ", "C Level ", "C Level ", "D Level", "D Level",
+        "A Level", "A Level", "B Level", "B Level", "C Level", "C Level", "D Level", "D Level",
     ]
     assert apply(["x"], lambda c: labels.area_level(c, {})) == ["D Level"]
 

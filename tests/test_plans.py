@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from footfall.checks.queries import QUERIES
 from footfall.operators import ads
-from footfall.operators.joins import broadcast_if_small
 from footfall.operators.sessions import session_facts, top_categories
 from footfall.params import TaskParams
 from footfall.sources.tables import scan_actions, scan_clicks
@@ -77,16 +76,15 @@ def test_hot_user_is_split_in_the_blacklist_join(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_broadcast_is_hinted_only_below_the_limit(spark):
-    cities = spark.range(10).withColumnRenamed("id", "city_id")
-    clicks = spark.range(10).withColumnRenamed("id", "city_id")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_date_ranges_and_clicks_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     try:
-        assert "BroadcastHashJoin" in plan_of(clicks.join(broadcast_if_small(cities, 10), "city_id"))
-        assert "SortMergeJoin" in plan_of(clicks.join(broadcast_if_small(cities, 9), "city_id"))
+        plan = plan_of(QUERIES["scan_actions_by_date"](spark, SF))
+        assert "GreaterThanOrEqual(ts," in plan and "LessThan(ts," in plan
+        plan = plan_of(QUERIES["scan_clicks"](spark, SF))
+        assert "EqualTo(event_type,click)" in plan and "LessThan(ts," in plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_replay_and_look_back_read_the_log_once(spark):

@@ -45,9 +45,9 @@ def test_top_products_ties_levels_and_status(spark, cities, catalog):
     df = clicks(spark, [(1, p) for p in (5, 4, 3, 2)] + [(1, 2), (3, 1)])
     rows = P.area_top_products(df, cities, catalog).orderBy("area", F.desc("click_count"), "product_id").collect()
     assert [(r["area"], r["area_level"], r["product_id"], r["click_count"], r["product_status"]) for r in rows] == [
-        ("China North", "A Level ", 2, 2, "第三方商品"),
-        ("China North", "A Level ", 3, 1, "第三方商品"),
-        ("China North", "A Level ", 4, 1, "第三方商品"),
+        ("China North", "A Level", 2, 2, "第三方商品"),
+        ("China North", "A Level", 3, 1, "第三方商品"),
+        ("China North", "A Level", 4, 1, "第三方商品"),
         ("Elsewhere", "D Level", 1, 1, "自营商品"),
     ]
 

@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from footfall.functions import text
 from footfall.operators import profiles
 from footfall.operators.sequence import with_previous
 
@@ -68,3 +69,11 @@ def test_packed_sessions_round_trip(spark):
     )
     out = profiles.decode_kv(packed, "packed", profiles.SESSION_FIELDS).orderBy("user_id").collect()
     assert [tuple(r) for r in out] == [(1, "s", "a,b", "20,3", 5, 2), (2, "t", None, None, 0, 1)]
+
+
+def test_packed_values_may_hold_the_separators(spark):
+    rows = [("a=b",), ("a|b",), ("100%|=%7C",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "v string")
+    packed = df.select("v", text.encode_kv({"v": "v", "n": F.lit(1)}).alias("packed"))
+    out = profiles.decode_kv(packed.withColumnRenamed("v", "was"), "packed", {"v": "string", "n": "int"}).collect()
+    assert [(r["v"], r["n"]) for r in out] == [(r[0] or None, 1) for r in rows]

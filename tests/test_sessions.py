@@ -187,3 +187,7 @@ def test_one_session_and_one_user_hold_a_third_of_the_rows(actions, users):
            for r in report["top10_category"].collect()}
     assert got == want
     assert one_row(report["session_aggr_stat"])["session_count"] == len(kept)
+
+
+def test_ids_are_what_a_bigint_is_written_as():
+    assert S._ids(("-1", "0", "12", "²", "007", "-0", "x", "", "9" * 30)) == [-1, 0, 12]

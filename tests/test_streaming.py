@@ -139,3 +139,17 @@ def test_running_counts_keep_days_and_cities_apart(spark, folder):
     assert rows(places.read()) == [
         ("2024-01-01", "p", "c", 1, 3), ("2024-01-01", "p", "d", 1, 1), ("2024-01-02", "p", "c", 1, 1),
     ]
+
+
+def test_days_are_those_of_the_session_zone(spark, folder):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        assert counters._day_start(spark) == "57600 seconds"
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert counters._day_start(spark) == "0 seconds"
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        with pytest.raises(ValueError):
+            counters._day_start(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
