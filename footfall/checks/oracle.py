@@ -295,7 +295,48 @@ _SAMPLE = (
 )
 _DETAIL_COLUMNS = _ACTION_COLUMNS.replace("date, user_id", "user_id").replace(", city_id", "")
 
+def _page_flow():
+    """Moves along the pages 1, 2, 5, 3, each step against the moves of the step before."""
+    return """
+    , moved AS (
+        SELECT lag(page_id) OVER (PARTITION BY session_id ORDER BY action_time, seq) AS a, page_id AS b
+        FROM user_visit_action),
+    steps AS (
+        SELECT * FROM (VALUES (1::BIGINT, 1::BIGINT, 2::BIGINT), (2, 2, 5), (3, 5, 3)) f(step, from_page, to_page)),
+    counted AS (
+        SELECT step, from_page, to_page, count(b) AS moves
+        FROM steps LEFT JOIN moved ON a = from_page AND b = to_page GROUP BY ALL),
+    based AS (
+        SELECT *, coalesce(lag(moves) OVER (ORDER BY step),
+                           (SELECT count(*) FROM user_visit_action WHERE page_id = 1)) AS base
+        FROM counted)
+    SELECT *, CASE WHEN base > 0 THEN ((200 * moves + base) // (2 * base)) / 100.0 END AS conversion_rate FROM based"""
+
+
+_TOP_SESSIONS = """
+    , touched AS (
+        SELECT click_category_id AS c, 1 AS click, 0 AS ordered, 0 AS paid FROM user_visit_action
+        WHERE click_category_id IS NOT NULL
+        UNION ALL SELECT CAST(unnest(string_split(order_category_ids, ',')) AS BIGINT), 0, 1, 0 FROM user_visit_action
+        UNION ALL SELECT CAST(unnest(string_split(pay_category_ids, ',')) AS BIGINT), 0, 0, 1 FROM user_visit_action),
+    ranked AS (
+        SELECT c FROM touched WHERE c IS NOT NULL GROUP BY c ORDER BY sum(click) DESC, sum(ordered) DESC, sum(paid) DESC, c LIMIT 10),
+    clicked AS (
+        SELECT click_category_id AS category_id, session_id, count(*) AS click_count FROM user_visit_action
+        WHERE click_category_id IN (SELECT c FROM ranked) GROUP BY ALL)
+    SELECT category_id, session_id, click_count FROM clicked
+    QUALIFY row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) <= 10"""
+
+_EXTRACT = """
+    SELECT session_id, strftime(t0, '%Y-%m-%d %H:%M:%S') AS start_time, search_keywords,
+           coalesce(array_to_string(categories, ','), '') AS click_category_ids
+    FROM session
+    QUALIFY row_number() OVER (PARTITION BY date_trunc('hour', t0) ORDER BY md5('0|' || session_id), session_id) <= 2"""
+
 ORACLE = {
+    "page_flow_conversion": _sql(_page_flow(), "user_visit_action"),
+    "top10_sessions_per_category": _sql(_TOP_SESSIONS, "user_visit_action"),
+    "session_extract_by_hour": _sql(_EXTRACT, "session"),
     "scan_actions_by_date": _sql(
         f"SELECT {_ACTION_COLUMNS} FROM user_visit_action WHERE date BETWEEN '{_FIRST_DAY}' AND '{_LAST_DAY}'",
         "user_visit_action",

@@ -6,7 +6,7 @@ from footfall import schemas
 from footfall.checks import settings as P
 from footfall.functions import labels, text
 from footfall.functions.times import format_time
-from footfall.operators import ads, products, profiles, sessions
+from footfall.operators import ads, journeys, products, profiles, sessions
 from footfall.plans.product_job import run_product_job
 from footfall.plans.replay import replay
 from footfall.plans.session_job import filtered_sessions, run_session_job
@@ -222,6 +222,22 @@ def category_counts(t):
     return sessions.category_counts(_visited(t))
 
 
+@query
+def page_flow_conversion(t):
+    return journeys.page_flow_conversion(t.numbered_actions, P.PAGE_FLOW)
+
+
+@query
+def top10_sessions_per_category(t):
+    categories = sessions.top_categories(sessions.category_counts(t.actions))
+    return journeys.top_sessions_per_category(t.actions, categories)
+
+
+@query
+def session_extract_by_hour(t):
+    return _as_text(journeys.session_extract_by_hour(t.actions, P.SESSIONS_AN_HOUR))
+
+
 @query
 def top10_categories(t):
     return sessions.top_categories(sessions.category_counts(_visited(t)))

@@ -45,6 +45,9 @@ PROFILED_COLUMNS = [
     "padded_ids",
 ]
 
+PAGE_FLOW = "1,2,5,3"
+SESSIONS_AN_HOUR = 2
+
 # The blacklist limit that the given log reaches; the product default is 100.
 THRESHOLD = 2
 # A micro-batch covers four and a half days, so that days are split between batches.
