@@ -321,13 +321,15 @@ def _fetch(units):
             for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist()):
                 data = units.plain(text.as_py())
                 start, end = units.places(data)
+                # A space ends the last word, lest a longer word of another key sort into the group.
+                tail = b" " if units.words else b""
                 kmers = ngram_hash(units.symbols(data), units.kmer).view(np.int64)
                 for r in wanted:
                     a, b = r["first"], r["last"]
                     anchor = a + int(np.argmax(kmers[a : b + units.window - units.kmer + 1] == r["key"]))
                     stop = min(anchor + units.window, b + units.window)
                     out.append((r["key"], r["content"], r["n"], r["doc"], r["row"], a, b - a + 1,
-                                data[start[anchor] : end[stop - 1]], data[start[a] : end[b + units.window - 1]]))
+                                data[start[anchor] : end[stop - 1]] + tail, data[start[a] : end[b + units.window - 1]]))
                 if len(out) >= 20_000:
                     yield pack(out)
                     out = []
