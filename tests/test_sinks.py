@@ -4,7 +4,7 @@ import pytest
 
 from footfall import schemas
 from footfall.sinks import tables
-from footfall.sinks.jdbc import merge_statements
+from footfall.sinks.jdbc import merge_statements, quoted, replace_task_statements, staging_name, write_options
 from footfall.sinks.keyed_table import KeyedTable, _cover
 from footfall.sources.jdbc import jdbc_options
 
@@ -135,19 +135,52 @@ def test_jdbc_options():
     }
 
 
+def test_writers_have_few_connections_and_large_batches():
+    options = write_options("u", "t", user="a", connections=4)
+    assert (options["numPartitions"], options["batchsize"], options["user"]) == ("4", "5000", "a")
+    assert "partitionColumn" not in options
+
+
 def test_merge_statements():
     columns, keys = ["date", "ad_id", "n"], ["date", "ad_id"]
     assert merge_statements("t", "st", columns, keys, "replace") == [
-        "UPDATE t t JOIN st s ON t.date = s.date AND t.ad_id = s.ad_id SET t.n = s.n",
-        "INSERT INTO t (date, ad_id, n) SELECT s.date, s.ad_id, s.n FROM st s "
-        "WHERE NOT EXISTS (SELECT 1 FROM t t WHERE t.date = s.date AND t.ad_id = s.ad_id)",
+        "UPDATE t t JOIN st s ON t.`date` = s.`date` AND t.`ad_id` = s.`ad_id` SET t.`n` = s.`n`",
+        "INSERT INTO t (`date`, `ad_id`, `n`) SELECT s.`date`, s.`ad_id`, s.`n` FROM st s "
+        "WHERE NOT EXISTS (SELECT 1 FROM t t WHERE t.`date` = s.`date` AND t.`ad_id` = s.`ad_id`)",
     ]
-    assert merge_statements("t", "st", columns, keys, "replace", "standard")[0].startswith("MERGE INTO t t USING st s")
+    (merge,) = merge_statements("t", "st", columns, keys, "replace", "standard")
+    assert merge.startswith('MERGE INTO t t USING st s ON t."date" = s."date" AND') and 'SET "n" = s."n"' in merge
     assert merge_statements("t", "st", ["user_id"], ["user_id"], "insert_new")[0].endswith(
-        "WHERE NOT EXISTS (SELECT 1 FROM t t WHERE t.user_id = s.user_id)"
+        "WHERE NOT EXISTS (SELECT 1 FROM t t WHERE t.`user_id` = s.`user_id`)"
     )
     delete, insert = merge_statements("t", "st", columns, ["date"], "replace_groups")
-    assert delete == "DELETE FROM t WHERE EXISTS (SELECT 1 FROM st s WHERE t.date = s.date)"
-    assert insert == "INSERT INTO t (date, ad_id, n) SELECT s.date, s.ad_id, s.n FROM st s"
+    assert delete == "DELETE FROM t WHERE EXISTS (SELECT 1 FROM st s WHERE t.`date` = s.`date`)"
+    assert insert == "INSERT INTO t (`date`, `ad_id`, `n`) SELECT s.`date`, s.`ad_id`, s.`n` FROM st s"
     with pytest.raises(ValueError):
         merge_statements("t", "st", columns, keys, "append")
+
+
+def test_merge_adds_to_known_keys():
+    columns, keys = ["date", "n"], ["date"]
+    assert merge_statements("t", "st", columns, keys, "add")[0].endswith("SET t.`n` = COALESCE(t.`n`, 0) + s.`n`")
+    (merge,) = merge_statements("t", "st", columns, keys, "add", "standard")
+    assert 'SET "n" = COALESCE(t."n", 0) + s."n" WHEN NOT MATCHED' in merge
+    # Keys alone: a known row has nothing to change.
+    assert len(merge_statements("t", "st", keys, keys, "replace")) == 1
+
+
+def test_names_are_quoted():
+    assert quoted("a`b", "mysql") == "`a``b`" and quoted('a"b', "standard") == '"a""b"'
+
+
+def test_replacing_a_task_names_it_even_without_rows():
+    assert replace_task_statements("t", "st", ["task_id", "n"], 7) == [
+        "DELETE FROM t WHERE `task_id` = 7",
+        "INSERT INTO t (`task_id`, `n`) SELECT `task_id`, `n` FROM st",
+    ]
+    with pytest.raises(ValueError):
+        replace_task_statements("t", "st", ["task_id"], "7 OR 1=1")
+
+
+def test_every_call_stages_apart():
+    assert staging_name("t") != staging_name("t")
