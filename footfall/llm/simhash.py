@@ -21,7 +21,7 @@ id of a component. An empty table gives no rows.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from footfall.llm.common import stage
 from footfall.llm.graph import components
@@ -52,17 +52,19 @@ def fingerprint(text):
     return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs, id_col="doc_id", text_col="text"):
-    """(doc_id, fp): the fingerprint of every row as a signed 64-bit number."""
+def fingerprints(docs, id_col="doc_id", text_col="text", carry=()):
+    """(doc_id, *carry, fp): the fingerprint of every row as a signed 64-bit number."""
+    chosen = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).alias("text"))
 
     def of_batches(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            texts = batch.column(batch.num_columns - 1)
             fps = np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            columns = [*batch.columns[:-1], pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "fp"])
 
-    ids = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(of_batches, f"doc_id {ids}, fp bigint")
+    schema = ", ".join(f"{name} {kind}" for name, kind in chosen.dtypes[:-1])
+    return chosen.mapInArrow(of_batches, f"{schema}, fp bigint")
 
 
 def _rank_of_gray(col):
@@ -188,38 +190,51 @@ def links(prints):
     return ranged.groupBy("part").cogroup(sent.groupBy("to")).applyInArrow(_search_part, "a bigint, b bigint")
 
 
-def simhash_components(docs, id_col="doc_id", text_col="text"):
-    """(doc_id, fingerprint, component_id) per row of ``docs``."""
-    prints = stage(fingerprints(docs, id_col, text_col), "fingerprints")
+def _row_hashes(docs):
+    """Two 64-bit hashes over all columns of a row; nulls are told apart from absent values."""
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    cols += [c.isNull() for c in cols]
+    return F.xxhash64(*cols).alias("h1"), F.xxhash64(F.lit(1), *cols).alias("h2")
+
+
+def _classes(prints):
+    """(fp, component, component_id) of the fingerprints in ``prints`` (doc_id, fp)."""
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "distinct_prints")
     joined = stage(components(links(distinct.select("fp"))), "components")
     named = distinct.join(joined, distinct["fp"] == joined["vertex"], "left").select(
         "fp", "smallest", F.coalesce("component", "fp").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    classes = stage(named.join(smallest, "component").select("fp", "component_id"), "classes")
+    return stage(named.join(smallest, "component").select("fp", "component", "component_id"), "classes")
+
+
+def simhash_components(docs, id_col="doc_id", text_col="text"):
+    """(doc_id, fingerprint, component_id) per row of ``docs``."""
+    prints = stage(fingerprints(docs, id_col, text_col), "fingerprints")
     # Both sides are plain tables, so adaptive execution can split a fingerprint many rows share.
-    return prints.join(classes, "fp").select(
+    return prints.join(_classes(prints).drop("component"), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one_each(docs, id_col="doc_id", text_col="text"):
-    """The rows of ``docs`` that stand for their component: those with its smallest doc_id.
+    """One row of ``docs`` for every component: that with its smallest doc_id.
 
-    Of several rows with this id the first in order of the other columns is kept. Rows without an id
-    are kept if their component has no id at all.
+    Rows are told apart by a 128-bit hash of all their columns. Of several rows with the smallest id
+    the one with the smallest hash is kept; rows without an id come last. Rows equal in all columns
+    are one row repeated, and stand in one component.
     """
-    found = simhash_components(docs, id_col, text_col)
-    named = found.groupBy(F.col("doc_id").alias("__id")).agg(
-        F.min(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__keep"), F.count("*").alias("__rows")
-    )
-    keep = stage(named.filter("__keep").select("__id", "__rows"), "representatives")
+    prints = stage(fingerprints(docs, id_col, text_col, _row_hashes(docs)), "fingerprints")
+    classes = _classes(prints).select("fp", "component")
+    return _representatives(docs, prints.join(classes, "fp"))
+
+
+def _representatives(docs, named):
+    """The first row of ``docs`` of every component in ``named`` (doc_id, h1, h2, component)."""
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")).alias("first")
+    keep = stage(named.groupBy("component").agg(first).select("first.h1", "first.h2"), "representatives")
     # Half the corpus or more is kept: the list outgrows any broadcast, so the same join serves every size.
-    kept = docs.join(keep.hint("merge"), docs[id_col].eqNullSafe(keep["__id"]))
-    # Only rows that share an id are compared; both branches read one exchange of the documents.
-    once = kept.filter((F.col("__rows") == 1) | F.col("__id").isNull())
-    several = kept.filter((F.col("__rows") > 1) & F.col("__id").isNotNull())
-    first = Window.partitionBy("__id").orderBy(*[F.col(c) for c in docs.columns if c != id_col])
-    several = several.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n")
-    return once.union(several).drop("__id", "__rows")
+    h1, h2 = _row_hashes(docs)
+    known = docs.select("*", h1.alias("__h1"), h2.alias("__h2"))
+    kept = known.join(keep.hint("merge"), (known["__h1"] == keep["h1"]) & (known["__h2"] == keep["h2"]))
+    return kept.dropDuplicates(["__h1", "__h2"]).select(*[known[f"`{c}`"] for c in docs.columns])

@@ -155,6 +155,20 @@ def test_simhash(docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
 
 
+def test_one_row_of_every_component_stays(spark):
+    say = lambda k: " ".join(f"t{k}x{i}" for i in range(60))
+    rows = [
+        (None, say(0)), (3, say(0)), (None, say(1)), (None, say(1)), (None, say(2)),  # ids missing
+        (5, say(3)), (6, say(3)), (5, say(4)), (4, say(4)),  # 5 is smallest in one component only
+        (7, say(5)), (8, say(5)), (7, say(6)),  # two components with the same smallest id
+    ]
+    # Rows that differ only in which of two columns is null are two rows.
+    frame = spark.createDataFrame([(i, t, 1) for i, t in rows] + [(None, say(7), 9), (9, say(8), None)], "doc_id long, text string, n long")
+    got = Counter((r.doc_id, r.text) for r in simhash.keep_one_each(frame).collect())
+    want = [(3, say(0)), (None, say(1)), (None, say(2)), (5, say(3)), (4, say(4)), (7, say(5)), (7, say(6)), (None, say(7)), (9, say(8))]
+    assert got == Counter(want)
+
+
 def test_gray_index_finds_every_link():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
