@@ -11,6 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from footfall.llm import ann, graph, lm, mixing, packing, quality, repeats, sharding, simhash, substring, suffixes, warc
 from footfall.llm.queries import tokenizer
 
@@ -169,6 +170,44 @@ def test_one_row_of_every_component_stays(spark):
     assert got == Counter(want)
 
 
+def test_near_copies_by_jaccard(spark):
+    rng, rows = random.Random(8), []
+    for group in range(12):
+        words = [rng.choice(WORDS) for _ in range(150)]
+        for copy in range(4):
+            # A changed word changes five shingles: Jaccard 0.93, 0.87, 0.81 and below 0.7 against the first.
+            changed = list(words)
+            for at in [30, 70, 110, 20, 50, 90][: (0, 1, 2, 6)[copy]]:
+                changed[at] = f"new{group}_{copy}_{at}"
+            rows.append((10 * group + copy, " ".join(changed)))
+    rows += [(900, None), (901, ""), (902, "one two"), (903, "One  two"), (None, rows[0][1])]
+
+    def shingles(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, u in enumerate(sets):
+        for j in range(i):
+            if u == sets[j] or 5 * len(u & sets[j]) >= 4 * len(u | sets[j]):
+                parent[find(i)] = find(j)
+    want = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            want[find(i)] = min(want.get(find(i), 1 << 60), doc_id)
+    assert len(want) < len(rows) - 24
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    assert sorted(r.doc_id for r in stage(spark, frame, None).collect()) == sorted(want.values())
+    assert stage(spark, frame.limit(0), None).count() == 0
+
+
 def test_gray_index_finds_every_link():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
