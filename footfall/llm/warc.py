@@ -158,7 +158,7 @@ def read_range(file, size, begin, end, compressed):
 
     A gap has no headers; it ends at the next valid record, wherever that is. Before the first valid
     record of a range inside an archive nothing is logged: those bytes belong to a record or to a gap of
-    the range before.
+    a range before. For that, a range also tests the record after its last one, beyond its end.
     """
     mark, record_at = (b"\x1f\x8b\x08", _member_at) if compressed else (b"WARC/", _plain_at)
     window = _Window(file, size)
@@ -166,7 +166,7 @@ def read_range(file, size, begin, end, compressed):
     while True:
         if searching:
             position = window.find(position, mark)
-        if position >= size or gap is None and position >= end:
+        if position >= size or not started and position >= end:
             break
         try:
             found, after = record_at(window, position)

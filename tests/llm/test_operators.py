@@ -349,6 +349,30 @@ def test_warc_ranges_meet(tmp_path, monkeypatch):
     assert seen == [f"<urn:page:{i}>" for i in range(50)]
 
 
+def test_warc_gaps_at_range_borders(tmp_path):
+    records = [warc.member(warc.record(i, "u", os.urandom(300), hashlib.sha1(b"").hexdigest(), "revisit", 300, 1)) for i in range(50)]
+    starts = np.cumsum([0, *map(len, records)]).tolist()
+
+    def read(broken, step):
+        torn = [r[:60] + bytes([r[60] ^ 255]) + r[61:] if i in broken else r for i, r in enumerate(records)]
+        path = tmp_path / "t.warc.gz"
+        path.write_bytes(b"".join(torn))
+        with path.open("rb") as f:
+            rows = [row for begin in range(0, starts[-1], step) for row in warc.read_range(f, starts[-1], begin, begin + step, True)]
+        assert [r[1]["warc-record-id"] for r in rows if r[1]] == [f"<urn:page:{i}>" for i in range(50) if i not in broken]
+        return [(r[0], r[3]) for r in rows if r[1] is None]
+
+    # The first member after a border that a record ends at, and after one that a record crosses.
+    for step in (starts[10], starts[10] - 100):
+        assert read({10}, step) == [(starts[10], len(records[10]))]
+    # Damage over whole ranges, in the middle and up to the end.
+    assert read({*range(20, 30)}, 777) == [(starts[20], starts[30] - starts[20])]
+    assert read({*range(40, 50)}, 777) == [(starts[40], starts[50] - starts[40])]
+    # Ranges of any size log the same.
+    broken = {0, 5, 6, 17, 30, 49}
+    assert all(read(broken, step) == read(broken, starts[-1]) for step in range(300, 3000, 97))
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 24)).astype(np.float32)
