@@ -8,7 +8,8 @@ Reading: archives are cut into byte ranges, read by separate tasks. A task searc
 the first valid record, reads on until a record would start beyond the range, and checks each one:
 the gzip member's checksum, version line, headers, length and payload digest. After a failed check it
 searches for the next member (or version line, in plain archives) that passes, goes on from there and
-logs the bytes skipped as a quarantined gap.
+logs the bytes skipped as a quarantined gap. Records may have any length: they are checked piece by
+piece, and a payload too large for a value of Spark is checked and reported without its bytes.
 
 Nulls: a null html is an empty payload, a null url an empty one; a null page_id is written as no
 record id and read back as null. Repeated rows are written as often as they occur. An empty table
@@ -17,6 +18,7 @@ gives no archive and no rows.
 
 import hashlib
 import re
+import tempfile
 import uuid
 import zlib
 
@@ -29,8 +31,9 @@ from footfall.llm.common import new_folder, stage, utf8
 VERSION = b"WARC/1.1\r\n"
 #: Payloads from this size on are written once.
 REVISIT_BYTES = 1000
-#: An archive is closed, and a range is cut, at about this size; largest record that is looked for.
-ARCHIVE_BYTES, RANGE_BYTES, RECORD_BYTES = 64 << 20, 8 << 20, 256 << 20
+#: An archive is closed, and a range is cut, at about this size. Payloads are spooled to disk beyond the
+#: third while they are checked; those beyond the last do not fit a value of Spark.
+ARCHIVE_BYTES, RANGE_BYTES, SPOOL_BYTES, VALUE_BYTES = 64 << 20, 8 << 20, 32 << 20, (1 << 31) - (64 << 20)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 READ, CHUNK = 1 << 20, 1 << 16
 
@@ -61,37 +64,75 @@ def member(data):
     return deflate.compress(data) + deflate.flush()
 
 
-def parse(data):
-    """(headers, payload) of the record that starts ``data``, and its length; raises ValueError."""
-    if not re.match(rb"WARC/\d\.\d\r\n", data):
-        raise ValueError("no version line")
-    stop = data.find(b"\r\n\r\n")
-    if stop < 0:
-        raise ValueError("headers do not end")
+class Parser:
+    """Takes in one record piece by piece; headers stay in memory. Raises ValueError when it is none."""
+
+    def __init__(self):
+        self.head, self.headers, self.left, self.tail = bytearray(), None, 0, b""
+        self.sha1, self.size = hashlib.sha1(), 0
+        self.payload = tempfile.SpooledTemporaryFile(SPOOL_BYTES)
+
+    @property
+    def done(self):
+        return self.headers is not None and self.tail == b"\r\n\r\n"
+
+    def feed(self, data):
+        """How many bytes of ``data`` belong to the record; fewer than all only at its end."""
+        used = 0
+        if self.headers is None:
+            before = len(self.head)
+            self.head += data
+            if len(self.head) >= 10 and not re.match(rb"WARC/\d\.\d\r\n", self.head):
+                raise ValueError("no version line")
+            stop = self.head.find(b"\r\n\r\n", max(0, before - 3))
+            if stop < 0:
+                return len(data)
+            self.headers, used = _headers(bytes(self.head[:stop])), stop + 4 - before
+            self.left, self.head = int(self.headers["content-length"]), None
+        body = data[used : used + self.left]
+        self.payload.write(body)
+        self.sha1.update(body)
+        self.left, self.size, used = self.left - len(body), self.size + len(body), used + len(body)
+        if not self.left:
+            rest = data[used : used + 4 - len(self.tail)]
+            self.tail, used = self.tail + rest, used + len(rest)
+            if not b"\r\n\r\n".startswith(self.tail):
+                raise ValueError("record does not end where it says")
+        return used
+
+    def result(self):
+        """(headers, payload); the payload is None if no value of Spark holds it."""
+        if not self.done:
+            raise ValueError("headers do not end" if self.headers is None else "record does not end where it says")
+        digest = self.headers.get("warc-payload-digest", "")
+        if self.headers.get("warc-type") != "revisit" and digest.startswith("sha1:"):
+            if self.sha1.hexdigest() != digest[5:]:
+                raise ValueError("payload digest differs")
+        if self.size > VALUE_BYTES:
+            if not self.headers.get("x-payload-length", "").isdigit():
+                self.headers["x-payload-length"] = str(self.size)
+            return self.headers, None
+        self.payload.seek(0)
+        return self.headers, self.payload.read()
+
+
+def _headers(block):
     headers = {}
-    for line in data[:stop].split(b"\r\n")[1:]:
+    for line in block.split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("malformed header")
         headers[name.decode("latin-1").lower()] = value.strip().decode("utf-8", "surrogatepass")
     if not re.fullmatch(r"[0-9]+", headers.get("content-length", "")):
         raise ValueError("no length")
-    begin, end = stop + 4, stop + 4 + int(headers["content-length"])
-    if len(data) < end + 4 or data[end : end + 4] != b"\r\n\r\n":
-        raise ValueError("record does not end where it says")
-    payload = data[begin:end]
-    digest = headers.get("warc-payload-digest", "")
-    if headers.get("warc-type") != "revisit" and digest.startswith("sha1:"):
-        if hashlib.sha1(payload).hexdigest() != digest[5:]:
-            raise ValueError("payload digest differs")
-    return headers, payload, end + 4
+    return headers
 
 
 # -- reading with salvage
 
 
 class _Window:
-    """Bytes of an archive by position, read ahead as needed; positions never go back."""
+    """Bytes of an archive by position, read ahead as needed."""
 
     def __init__(self, file, size):
         self.file, self.size, self.base, self.data = file, size, 0, b""
@@ -99,6 +140,8 @@ class _Window:
     def at(self, position, length):
         """Up to ``length`` bytes from ``position`` on."""
         end = min(position + length, self.size)
+        if position < self.base:  # a long record failed: the search goes on behind its start
+            self.base, self.data = position, b""
         if position - self.base > 4 * READ or position > self.base + len(self.data):
             self.data = self.data[position - self.base :]
             self.base = position
@@ -120,37 +163,34 @@ class _Window:
 
 def _member_at(window, position):
     """((headers, payload), end) of the gzip member at ``position``; raises ValueError."""
-    inflate, parts, have, used = zlib.decompressobj(31), [], 0, 0
-    while not inflate.eof:
-        chunk = window.at(position + used, CHUNK)
-        if not chunk:
-            raise ValueError("member is cut off")
-        try:
-            parts.append(inflate.decompress(chunk))
-        except zlib.error as error:
-            raise ValueError(str(error)) from None
-        used += len(chunk)
-        have += len(parts[-1])
-        if have > RECORD_BYTES:
-            raise ValueError("record too long")
-    headers, payload, n = parse(b"".join(parts))
-    if n != have:
-        raise ValueError("bytes left in the member")
-    return (headers, payload), position + used - len(inflate.unused_data)
+    inflate, parser, used = zlib.decompressobj(31), Parser(), 0
+    with parser.payload:
+        while not inflate.eof:
+            chunk = inflate.unconsumed_tail
+            if not chunk:
+                chunk = window.at(position + used, CHUNK)
+                used += len(chunk)
+            try:
+                part = inflate.decompress(chunk, READ)
+            except zlib.error as error:
+                raise ValueError(str(error)) from None
+            if not chunk and not part and not inflate.eof:
+                raise ValueError("member is cut off")
+            if parser.feed(part) < len(part):
+                raise ValueError("bytes left in the member")
+        return parser.result(), position + used - len(inflate.unused_data)
 
 
 def _plain_at(window, position):
     """((headers, payload), end) of the uncompressed record at ``position``; raises ValueError."""
-    length = CHUNK
-    head = window.at(position, length)
-    stop = head.find(b"\r\n\r\n")
-    told = re.search(rb"(?i)\r\ncontent-length:[ \t]*([0-9]+)[ \t]*\r\n", head[: stop + 2]) if stop >= 0 else None
-    if told:
-        length = stop + 8 + int(told[1])
-        if length > RECORD_BYTES:
-            raise ValueError("record too long")
-    headers, payload, n = parse(window.at(position, length))
-    return (headers, payload), position + n
+    parser, used = Parser(), 0
+    with parser.payload:
+        while not parser.done:
+            chunk = window.at(position + used, CHUNK)
+            if not chunk:
+                raise ValueError("record is cut off")
+            used += parser.feed(chunk)
+        return parser.result(), position + used
 
 
 def read_range(file, size, begin, end, compressed):
@@ -207,11 +247,11 @@ def read_archives(spark, archives):
                 out, held = [], 0
                 with system.open_input_file(path) as file:
                     for position, headers, payload, gap, reason in read_range(file, size, begin, begin + step, archive.endswith(".gz")):
-                        out.append(_row(archive, position, headers, payload, gap, reason))
-                        held += len(payload or b"")
-                        if held > 16 << 20:
+                        if out and held + len(payload or b"") > 16 << 20:
                             yield _to_batch(out)
                             out, held = [], 0
+                        out.append(_row(archive, position, headers, payload, gap, reason))
+                        held += len(payload or b"")
                 if out:
                     yield _to_batch(out)
 

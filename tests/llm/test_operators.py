@@ -373,6 +373,30 @@ def test_warc_gaps_at_range_borders(tmp_path):
     assert all(read(broken, step) == read(broken, starts[-1]) for step in range(300, 3000, 97))
 
 
+def test_warc_records_of_any_length(tmp_path):
+    def read(data, compressed):
+        path = tmp_path / "long.warc"
+        path.write_bytes(data)
+        with path.open("rb") as f:
+            return list(warc.read_range(f, len(data), 0, len(data), compressed))
+
+    def response(i, payload, url="u"):
+        return warc.record(i, url, payload, hashlib.sha1(payload).hexdigest(), "response", len(payload), None)
+
+    large = bytes(257 << 20)
+    rows = read(warc.member(response(1, large)) + warc.member(response(2, b"after")), True)
+    assert [(r[1] and r[1]["warc-record-id"], r[3]) for r in rows] == [("<urn:page:1>", 0), ("<urn:page:2>", 0)]
+    assert rows[0][2] == large
+    # Headers of more than one chunk, and a break between any two pieces.
+    for n in (100_000, *range(warc.CHUNK - 400, warc.CHUNK, 7)):
+        assert [r[2] for r in read(response(1, b"body", "u" * n) + response(2, b"after"), False)] == [b"body", b"after"]
+    # The search behind the start of a long member that fails near its end.
+    torn = bytearray(warc.member(response(1, os.urandom(9 << 20))))
+    torn[-3000] ^= 255
+    rows = read(bytes(torn) + warc.member(response(2, b"after")), True)
+    assert [(r[0], r[2], r[3]) for r in rows] == [(0, None, len(torn)), (len(torn), b"after", 0)]
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 24)).astype(np.float32)
