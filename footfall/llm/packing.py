@@ -3,15 +3,16 @@
 Texts are tokenized once, in batches; only documents longer than a sequence are cut, the shorter
 piece first. Pieces are dealt evenly into groups of bounded size. Every group is packed by best fit
 in decreasing length, and its underfull bins are improved by swaps: documents are exchanged one for
-one or two for one between two bins, or moved, whenever the sum of squared fills grows, so room
+one, two for one or one for two between two bins, or moved, whenever the sum of squared fills grows, so room
 gathers in few bins until they are empty. The bins a group leaves underfull are opened again and go
-to the next round with those of the other groups, until one group takes them all.
+to the next round with those of the other groups, until one group takes them all or a round gains nothing.
 
 Nulls are empty texts: one piece, the end token alone. Repeated rows are packed one by one. A
 document's pieces are numbered from 0 and may stand in any sequences. An empty table gives no rows.
 """
 
 import bisect
+import heapq
 import math
 import sys
 import types
@@ -24,10 +25,8 @@ from pyspark.sql import functions as F
 from footfall.llm.common import stage
 
 LENGTH, END = 1024, 2
-#: Pieces packed in one task and round, and passes of the local search over the underfull bins.
-GROUP_PIECES, PASSES = 20_000, 2
-#: Of the emptiest bins, how many a bin tries to take from in one pass.
-DONORS = 2
+#: Pieces packed in one task and round.
+GROUP_PIECES = 20_000
 #: Entries of a worker's table of words already tokenized; when full it is started anew.
 WORD_TABLE = 500_000
 
@@ -165,63 +164,108 @@ def best_fit(sizes, length):
     return bins
 
 
-def local_search(bins, sizes, length, passes=PASSES):
+class _Gives:
+    """What every underfull bin may give: nothing, one item or two, with its tokens and the bin's room."""
+
+    def __init__(self, sizes):
+        self.sizes, self.at, self.n = sizes, {}, 0
+        self.rows = np.empty((3, 1024), np.int64)  # tokens given, bin, room; a replaced row has no room
+        self.items = [None] * 1024
+
+    def put(self, k, items, room):
+        """Replace the rows of bin ``k``; a full or empty bin has none."""
+        if k in self.at:
+            a, b = self.at.pop(k)
+            self.rows[2, a:b] = 0
+        if not items or not room:
+            return
+        gives = [(), *[(i,) for i in items], *[(i, j) for n, i in enumerate(items) for j in items[n + 1 :]]]
+        if self.n + len(gives) > self.rows.shape[1]:
+            self._compact(len(gives))
+        a, b = self.n, self.n + len(gives)
+        self.rows[0, a:b] = [sum(self.sizes[i] for i in g) for g in gives]
+        self.rows[1, a:b], self.rows[2, a:b], self.items[a:b] = k, room, gives
+        self.at[k], self.n = (a, b), b
+
+    def _compact(self, more):
+        spans = sorted(self.at.items(), key=lambda x: x[1])
+        live = np.concatenate([np.arange(a, b) for _, (a, b) in spans]) if spans else np.empty(0, np.int64)
+        rows, items = self.rows[:, live], [self.items[i] for i in live]
+        size = 2 * (len(live) + more) + 1024
+        self.rows, self.items, self.n = np.empty((3, size), np.int64), items + [None] * (size - len(items)), len(live)
+        self.rows[:, : self.n] = rows
+        begin = 0
+        for k, (a, b) in spans:
+            self.at[k], begin = (begin, begin + b - a), begin + b - a
+
+    def best(self, donor, items, fill, length):
+        """(bin, items given, items taken, shift): the largest shift from ``donor``, or None."""
+        given, bin_, room = self.rows[:, : self.n]
+        # Only bins at least as full as the donor take, so the sum of squares grows.
+        able = np.flatnonzero((bin_ != donor) & (room > 0) & (length - room >= fill))
+        given, room, found, shift = given[able], room[able], None, 0
+        for take in [*[(i,) for i in items], *[(i, j) for n, i in enumerate(items) for j in items[n + 1 :]]]:
+            if found and len(take) == 2:
+                break  # pairs are for donors from which no single document can be taken
+            d = sum(self.sizes[i] for i in take) - given
+            d[d > room] = 0
+            at = int(d.argmax()) if len(d) else 0
+            if len(d) and d[at] > shift:
+                found, shift = (at, take), int(d[at])
+        if found is None:
+            return None
+        at = int(able[found[0]])
+        return int(bin_[at]), self.items[at], found[1], shift
+
+
+def local_search(bins, sizes, length):
     """Swap documents between underfull bins while the sum of squared fills grows.
 
-    A bin is filled from the emptier ones: with fill f and a partner's fill g <= f, shifting d > 0
-    tokens from g to f raises f^2 + g^2. For every bin the largest shift d that fits its room is taken
-    among moves (d = a), exchanges one for one (d = a - b) and two for one (d = a + a' - b).
+    The emptiest bin not yet tried is the donor, and every underfull bin at least as full a partner:
+    shifting d > 0 tokens from g to f >= g raises f^2 + g^2. The donor makes its largest shift
+    (a move, or an exchange of one or two for one or two) until it is empty or has none. Passes over
+    the donors go on until none changes a bin, or all room together would not empty one.
     """
     fill = [sum(sizes[i] for i in b) for b in bins]
-    open_ = [k for k in range(len(bins)) if fill[k] < length]
-    for _ in range(passes):
-        if sum(length - fill[k] for k in open_ if fill[k]) < length:
-            break  # not even all the room together would empty a bin
-        open_ = sorted((k for k in open_ if 0 < fill[k] < length), key=lambda k: -fill[k])
-        changed = False
-        for at, k in enumerate(open_):
-            # Donors are the emptiest bins; they are the ones that can be emptied.
-            for donor in reversed(open_[max(at + 1, len(open_) - DONORS) :]):
-                while fill[k] < length and bins[donor] and fill[donor] <= fill[k]:
-                    best = _best_swap(bins[k], bins[donor], sizes, length - fill[k])
-                    if best is None:
-                        break
-                    give, take, d = best
-                    for i in give:
-                        bins[k].remove(i)
-                        bins[donor].append(i)
-                    for i in take:
-                        bins[donor].remove(i)
-                        bins[k].append(i)
-                    fill[k] += d
-                    fill[donor] -= d
-                    changed = True
-                if fill[k] == length:
-                    break
-        if not changed:
-            break
+    room = sum(length - f for f in fill)
+    if room < length:
+        return bins
+    gives = _Gives(sizes)
+    for k, b in enumerate(bins):
+        gives.put(k, b, length - fill[k])
+    changed = True
+    while changed and room >= length:
+        changed, tried = False, set()
+        heap = [(f, k) for k, f in enumerate(fill) if 0 < f < length]
+        heapq.heapify(heap)
+        while heap and room >= length:
+            f, donor = heapq.heappop(heap)
+            if donor in tried or f != fill[donor]:
+                continue
+            tried.add(donor)
+            while bins[donor] and (best := gives.best(donor, bins[donor], fill[donor], length)):
+                k, give, take, d = best
+                for i in give:
+                    bins[k].remove(i)
+                    bins[donor].append(i)
+                for i in take:
+                    bins[donor].remove(i)
+                    bins[k].append(i)
+                fill[k] += d
+                fill[donor] -= d
+                gives.put(k, bins[k], length - fill[k])
+                gives.put(donor, bins[donor], length - fill[donor])
+                if 0 < fill[k] < length and k not in tried:
+                    heapq.heappush(heap, (fill[k], k))
+                changed = True
+            if not bins[donor]:
+                room -= length
     return [b for b in bins if b]
 
 
-def _best_swap(own, other, sizes, room):
-    """(items given, items taken, shift) with the largest shift in 1..room, or None."""
-    best, shift = None, 0
-    gives = [((), 0), *[((i,), sizes[i]) for i in own]]
-    singles = [((i,), sizes[i]) for i in other]
-    doubles = [((i, j), sizes[i] + sizes[j]) for n, i in enumerate(other) for j in other[n + 1 :]]
-    for give, lost in gives:
-        for take, gained in singles + (doubles if give else []):
-            d = gained - lost
-            if shift < d <= room:
-                best, shift = (give, take, d), d
-                if d == room:
-                    return best
-    return best
-
-
-def _packer(length, closing):
-    """Packs a partition; with ``closing`` every bin is closed, else only the full enough ones."""
-    names = ["id", "sequence", "offset"]
+def _packer(length):
+    """Packs a partition; ``open`` tells the items of bins that are not full."""
+    names = ["id", "sequence", "offset", "open"]
 
     def of_batches(batches):
         table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
@@ -230,36 +274,53 @@ def _packer(length, closing):
         ids, sizes = table.column("id").to_numpy(), table.column("length").to_numpy().tolist()
         task = int(table.column("group")[0].as_py())
         bins = local_search(best_fit(sizes, length), sizes, length)
-        out = ([], [], [])
+        held = {}
+        for i, name in enumerate(table.column("bin").to_pylist()):
+            held.setdefault(name, []).append(i)
+        if None not in held:
+            # Bins of the rounds before meet as they are, so no round undoes what another gained.
+            met = local_search(list(held.values()), sizes, length)
+            full = lambda x: sum(sum(sizes[i] for i in b) == length for b in x)
+            bins = min(met, bins, key=lambda x: (len(x), -full(x)))
+        out = ([], [], [], [])
         for number, b in enumerate(bins):
             fill = sum(sizes[i] for i in b)
-            closed = closing or fill == length
             offset = 0
             for i in b:
                 out[0].append(ids[i])
-                out[1].append((task << 32) + number if closed else None)
+                out[1].append((task << 32) + number)
                 out[2].append(offset)
+                out[3].append(fill < length)
                 offset += sizes[i]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
+        kinds = [pa.int64()] * 3 + [pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
 
     return of_batches
 
 
 def assign(items, length=LENGTH):
     """(id, sequence_id, offset) for ``items`` (id bigint, length bigint)."""
-    done, left, first_group, n, last = [], items, 0, items.count(), None
+    done, first_group, n, before = [], 0, items.count(), None
+    left = items.withColumn("bin", F.lit(None).cast("long"))
+    schema = "id bigint, sequence bigint, offset bigint, open boolean"
     while n:
         groups = max(1, math.ceil(n / GROUP_PIECES))
-        # A round that could not close enough bins is the last: its groups stay as they are.
-        closing = groups == 1 or last is not None and n > 0.7 * last
-        dealt = left.withColumn("group", F.pmod(F.xxhash64("id", F.lit(first_group)), F.lit(groups)) + first_group)
-        packed = dealt.groupBy("group").applyInArrow(_grouped(_packer(length, closing)), "id bigint, sequence bigint, offset bigint")
-        packed = stage(packed, "packed")
-        done.append(packed.filter("sequence IS NOT NULL"))
-        if closing:
+        dealt_by = F.xxhash64(F.coalesce("bin", "id"), F.lit(first_group))
+        dealt = left.withColumn("group", F.pmod(dealt_by, F.lit(groups)) + first_group)
+        packed = stage(dealt.groupBy("group").applyInArrow(_grouped(_packer(length)), schema), "packed")
+        # Every bin has one item at offset 0.
+        at_0 = F.col("offset") == 0
+        bins, open_bins, remain = packed.agg(
+            F.count_if(at_0), F.count_if(at_0 & F.col("open")), F.count_if("open")
+        ).first()
+        done.append(packed.filter("NOT open"))
+        unfilled = packed.filter("open")
+        if groups == 1 or bins == before and remain == n:
+            done.append(unfilled)
             break
-        left = stage(packed.filter("sequence IS NULL").select("id").join(left, "id"), "left")
-        first_group, n, last = first_group + groups, left.count(), n
+        before = open_bins
+        left = stage(unfilled.select("id", F.col("sequence").alias("bin")).join(left.drop("bin"), "id"), "left")
+        first_group, n = first_group + groups, remain
     if not done:
         return items.select("id", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).limit(0)
     out = done[0]

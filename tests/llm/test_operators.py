@@ -307,6 +307,36 @@ def test_local_search_empties_bins():
     assert sorted(i for b in bins for i in b) == list(range(7))
 
 
+def test_local_search_tries_every_pair_of_bins():
+    # Twenty groups of four bins that make three, each only by an exchange, with every bin underfull.
+    sizes, bins = [], []
+    for _ in range(20):
+        for b in ([6, 3], [5, 4], [5, 3], [4]):
+            bins.append(list(range(len(sizes), len(sizes) + len(b))))
+            sizes += b
+    packed = packing.local_search(bins, sizes, 10)
+    assert sorted(i for b in packed for i in b) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in b) <= 10 for b in packed)
+    assert len(packed) == sum(sizes) // 10
+    # Two documents are given for one.
+    assert len(packing.local_search([[0, 1], [2]], [3, 3, 7], 10)) == 2
+    packed = packing.local_search([[0, 1, 2], [3], [4]], [3, 3, 2, 7, 2], 10)
+    assert len(packed) == 2
+
+
+def test_groups_meet_until_nothing_is_gained(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_PIECES", 40)
+    rng = random.Random(4)
+    sizes = [rng.randint(256, 512) for _ in range(400)]
+    placed = packing.assign(spark.createDataFrame(list(enumerate(sizes)), "id long, length long")).collect()
+    fills = Counter()
+    for r in placed:
+        fills[r.sequence_id] += sizes[r.id]
+    assert sorted(r.id for r in placed) == list(range(400)) and max(fills.values()) <= 1024
+    # As good as one group that holds everything, though every group holds forty pieces.
+    assert len(fills) <= len(packing.local_search(packing.best_fit(sizes, 1024), sizes, 1024))
+
+
 def test_warc_round_trip_and_salvage(spark, tmp_path):
     big = "<p>é</p>" * 300
     pages = [(1, "u", big), (2, None, big), (3, "u", "small"), (4, "u", "small"), (5, "u", None), (6, "u", ""), (7, "u\r\nx", "z" * 1000)]
