@@ -152,7 +152,7 @@ def _add_up(table):
     sums = []
     for name in ("train", "gone"):
         counts = np.concatenate([np.frombuffer(c.as_py(), np.uint32) for c in table.column(name)])
-        sums.append(np.bincount(at, weights=counts, minlength=len(joint)).astype(np.uint32))
+        sums.append(np.bincount(at, weights=counts, minlength=len(joint)).astype(np.int64))
     cut = np.cumsum([0, *sizes])
     back = [[s[at[a:b]].tobytes() for a, b in zip(cut, cut[1:])] for s in sums]
     n = len(sizes)
@@ -172,8 +172,8 @@ def _answers_of(answers):
     out = []
     for kind in (1, 2):
         for name in ("train", "gone"):
-            parts = [np.frombuffer(a[name], np.uint32) for a in ordered if a["kind"] == kind]
-            out.append(np.concatenate(parts).astype(np.int64) if parts else np.empty(0, np.int64))
+            parts = [np.frombuffer(a[name], np.int64) for a in ordered if a["kind"] == kind]
+            out.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
     return out
 
 

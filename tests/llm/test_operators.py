@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -463,3 +464,11 @@ def test_language_model(docs):
         assert abs(r.base_score - want[r.doc_id][4]) < 1e-6 and r.score < 0
     # Repeated passages are known to the bigram model: it does better on what it learned from.
     assert sum(r.score for r in got if not r.held_out) > sum(r.base_score for r in got if not r.held_out)
+
+
+def test_counts_beyond_32_bits():
+    key, counts = np.array([7], np.uint64).tobytes(), np.array([3_000_000_000], np.uint32).tobytes()
+    rows = [{"shard": 0, "kind": 1, "block": b, "keys": key, "train": counts, "gone": counts} for b in range(2)]
+    answers = lm._add_up(pa.Table.from_pylist(rows)).to_pylist()
+    assert [x.tolist() for x in lm._answers_of(answers[:1])[:2]] == [[6_000_000_000]] * 2
+    assert sum(a["total"] for a in answers) == 6_000_000_000
