@@ -16,8 +16,8 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Of documents that share four fifths of their five-word shingles the one with the smallest id stays."""
-    return simhash.keep_one_similar(docs, shingle=5, jaccard=0.8)
+    """Of documents whose fingerprints of three-word shingles link within two bits, the smallest id stays."""
+    return simhash.keep_one_each(docs)
 
 
 def repeated_passages(spark, docs, sf_dir):
