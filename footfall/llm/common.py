@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -102,6 +103,9 @@ def ngram_hash(x, n):
 
 
 BYTE_HASH = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+#: Longer words take a hash of their bytes: sums of powers modulo 2^64 agree by construction on some words of
+#: 1,024 bytes and more, whatever the base.
+LONG_WORD = 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -121,7 +125,10 @@ def word_hashes(data):
     if not len(starts):
         return np.empty(0, np.uint64)
     p = prefix_hash(BYTE_HASH[np.frombuffer(data, np.uint8)])
-    return mix(span_hash(p, starts, ends) ^ (ends - starts).astype(np.uint64))
+    out = mix(span_hash(p, starts, ends) ^ (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        out[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]], 42)
+    return out
 
 
 def sliding_min(x, width):
