@@ -171,44 +171,6 @@ def test_one_row_of_every_component_stays(spark):
     assert got == Counter(want)
 
 
-def test_near_copies_by_jaccard(spark):
-    rng, rows = random.Random(8), []
-    for group in range(12):
-        words = [rng.choice(WORDS) for _ in range(150)]
-        for copy in range(4):
-            # A changed word changes five shingles: Jaccard 0.93, 0.87, 0.81 and below 0.7 against the first.
-            changed = list(words)
-            for at in [30, 70, 110, 20, 50, 90][: (0, 1, 2, 6)[copy]]:
-                changed[at] = f"new{group}_{copy}_{at}"
-            rows.append((10 * group + copy, " ".join(changed)))
-    rows += [(900, None), (901, ""), (902, "one two"), (903, "One  two"), (None, rows[0][1])]
-
-    def shingles(text):
-        words = (text or "").lower().split()
-        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i, u in enumerate(sets):
-        for j in range(i):
-            if u == sets[j] or 5 * len(u & sets[j]) >= 4 * len(u | sets[j]):
-                parent[find(i)] = find(j)
-    want = {}
-    for i, (doc_id, _) in enumerate(rows):
-        if doc_id is not None:
-            want[find(i)] = min(want.get(find(i), 1 << 60), doc_id)
-    assert len(want) < len(rows) - 24
-    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    stage = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
-    assert sorted(r.doc_id for r in stage(spark, frame, None).collect()) == sorted(want.values())
-    assert stage(spark, frame.limit(0), None).count() == 0
-
-
 def test_gray_index_finds_every_link():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
@@ -225,6 +187,49 @@ def test_components(spark):
     assert got == {**{i: 100 for i in range(100, 161)}, 5: 5, 3: 3, 7: 3, 9: 3}
 
 
+def test_components_of_long_chains_and_stars(spark):
+    def chain(ids):
+        return list(zip(ids, ids[1:]))
+
+    both_ends = [0, *range(10, 1008), 1]  # its two smallest vertices are its two ends
+    rng = random.Random(4)
+    mixed = rng.sample(range(20_000, 30_000), 1_000)
+    star = [(50_000, 60_000 + i) for i in range(10_000)]
+    edges = chain(both_ends) + chain(mixed) + star
+    rng.shuffle(edges)
+    got = dict(graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    want = {v: 0 for v in both_ends} | {v: min(mixed) for v in mixed} | {v: 50_000 for e in star for v in e}
+    assert got == want
+
+
+def test_rounds_on_a_chain_grow_with_its_bits(spark, monkeypatch):
+    staged, stage = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    ids = [0, *range(2, 400), 1]
+    found = graph.components(spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long"))
+    assert found.select("component").distinct().count() == 1
+    assert staged.count("reached") <= 2 * 9
+
+
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 4096])
+def test_long_words_with_equal_sums_are_different_words(spark, size):
+    one, other = thue_morse(size, "ab"), thue_morse(size, "ba")
+    rng = random.Random(9)
+    before, after = ([rng.choice(WORDS) for _ in range(40)] for _ in range(2))
+    texts = [" ".join([*before, word, *after]) for word in (one, other, one)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substring.removal_report(frame).collect()}
+    assert got == {0: 0, 1: 0, 2: 81}
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    learned = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10)
+    frame = spark.createDataFrame([(learned, f"known {one}"), (held, f"known {other}")], "doc_id long, text string")
+    assert {r.doc_id: r.n_known for r in lm.score(frame).collect()} == {learned: 3, held: 2}
+
+
 @pytest.fixture(params=[1 << 9, 8 << 20])
 def part_bytes(request, monkeypatch):
     """Contents per range partition: so few that groups go on across many, and the default."""
