@@ -4,7 +4,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from footfall.llm import ann, lm, mixing, packing, quality, sharding, simhash, substring, suffixes, warc
+from footfall.llm import (
+    ann, clustering, divergence, lm, mixing, packing, quality, sharding, simhash, substring, suffixes, warc,
+)
+from footfall.llm.sql import DIVERGENCE, clustering_sql
 
 #: Folder of the public tokenizers' files; a parameter of the packing operator.
 TOKENIZERS = os.environ.get("FOOTFALL_TOKENIZERS", "/opt/tokenizers")
@@ -65,6 +68,14 @@ def op10_prefix_sum_shards(spark, folder):
     return sharding.balanced_shards(_table(spark, folder, "documents"), shards=16)
 
 
+def op11_source_divergence(spark, folder):
+    return divergence.source_divergence(_table(spark, folder, "documents"))
+
+
+def op13_centroid_clustering(spark, folder):
+    return clustering.cluster_vectors(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +89,8 @@ QUERIES = {
         op8_multi_index_hashing,
         op9_deleted_interpolation,
         op10_prefix_sum_shards,
+        op11_source_divergence,
+        op13_centroid_clustering,
     )
 }
 
@@ -104,4 +117,8 @@ FROM drawn d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source AND s.cdf <=
 """
 
 #: The other operators hash, learn, tokenize or iterate in ways SQL has no words for.
-ORACLE = {"op5_poisson_mixing": _MIXING_SQL}
+ORACLE = {
+    "op5_poisson_mixing": _MIXING_SQL,
+    "op11_source_divergence": DIVERGENCE,
+    "op13_centroid_clustering": clustering_sql(),
+}
