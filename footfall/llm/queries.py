@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from footfall.llm import (
-    ann, clustering, divergence, lm, mixing, packing, quality, sharding, simhash, substring, suffixes, warc,
+    ann, clustering, divergence, extraction, lm, mixing, packing, quality, sharding, simhash, substring, suffixes, warc,
 )
 from footfall.llm.sql import DIVERGENCE, clustering_sql
 
@@ -72,6 +72,10 @@ def op11_source_divergence(spark, folder):
     return divergence.source_divergence(_table(spark, folder, "documents"))
 
 
+def op12_html_extraction(spark, folder):
+    return extraction.main_text(_table(spark, folder, "pages"))
+
+
 def op13_centroid_clustering(spark, folder):
     return clustering.cluster_vectors(_table(spark, folder, "embeddings"))
 
@@ -90,6 +94,7 @@ QUERIES = {
         op9_deleted_interpolation,
         op10_prefix_sum_shards,
         op11_source_divergence,
+        op12_html_extraction,
         op13_centroid_clustering,
     )
 }

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_names():
     names = queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
