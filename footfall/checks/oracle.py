@@ -57,12 +57,17 @@ _VIEWS = {
                || replace(n_name, '_', '-') || ' ' || CAST(user_id AS VARCHAR) || ' ' || CAST(k % 5 AS VARCHAR) AS value
         FROM ev JOIN nation ON user_id % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "ad_click": f"""
-        SELECT CAST(p[1] AS BIGINT) AS event_millis, strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%Y-%m-%d') AS date,
+        SELECT event_id, CAST(p[1] AS BIGINT) AS event_millis, strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%Y-%m-%d') AS date,
                strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%H') AS hour,
                strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%M') AS minute,
                p[2] AS province, p[3] AS city, CAST(p[4] AS BIGINT) AS user_id, CAST(p[5] AS BIGINT) AS ad_id,
                (epoch_us(ts) // 1000000 - {P.FIRST_SECOND}) // {P.BATCH_SECONDS} AS batch
-        FROM (SELECT ts, string_split(value, ' ') AS p FROM log_line)""",
+        FROM (SELECT event_id, ts, string_split(value, ' ') AS p FROM log_line)""",
+    "arrived": "SELECT *, batch + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS arrival FROM ad_click",
+    "marks": """
+        SELECT arrival, max(max(event_millis)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+               - 7200000 AS mark
+        FROM arrived GROUP BY arrival""",
     "user_count": """
         SELECT date, user_id, ad_id, count(*) AS click_count FROM ad_click GROUP BY ALL""",
     "black": f"SELECT DISTINCT user_id FROM user_count WHERE click_count > {P.THRESHOLD}",
@@ -87,6 +92,8 @@ _NEEDS = {
     "black": ["user_count"],
     "offence": ["ad_click"],
     "accepted": ["ad_click", "offence"],
+    "arrived": ["ad_click"],
+    "marks": ["arrived"],
 }
 
 
@@ -295,6 +302,36 @@ _SAMPLE = (
 )
 _DETAIL_COLUMNS = _ACTION_COLUMNS.replace("date, user_id", "user_id").replace(", city_id", "")
 
+#: Every count is taken anew from the clicks of the hour before; windows are those that end on ten seconds.
+_SLIDING = """
+    SELECT ad_id, strftime(epoch_ms(1000 * slide), '%Y-%m-%d %H:%M:%S') AS first_slide,
+           strftime(epoch_ms(1000 * (next_slide - 10)), '%Y-%m-%d %H:%M:%S') AS last_slide, click_count
+    FROM (
+        SELECT p.ad_id, slide, next_slide, count(*) AS click_count
+        FROM (
+            SELECT ad_id, slide, coalesce(lead(slide) OVER (PARTITION BY ad_id, block ORDER BY slide), block + 3600) AS next_slide
+            FROM (
+                SELECT ad_id, pane_end AS slide, pane_end // 3600 * 3600 AS block
+                FROM (SELECT ad_id, event_millis // 10000 * 10 + 10 AS pane_end FROM ad_click)
+                UNION
+                SELECT ad_id, unnest([pane_end // 3600 * 3600 + 3600, pane_end + 3600]), pane_end // 3600 * 3600 + 3600
+                FROM (SELECT ad_id, event_millis // 10000 * 10 + 10 AS pane_end FROM ad_click) WHERE pane_end % 3600 > 0)) p
+        JOIN ad_click c ON c.ad_id = p.ad_id
+            AND c.event_millis >= (slide - 3600) * 1000 AND c.event_millis < slide * 1000
+        GROUP BY ALL)"""
+
+#: The watermark of the last batch stands two hours before the newest click.
+_PANES_IN_STATE = """
+    SELECT strftime(epoch_ms(event_millis // 10000 * 10000), '%Y-%m-%d %H:%M:%S') AS pane, ad_id, count(*) AS click_count
+    FROM ad_click
+    WHERE (event_millis // 10000 + 1) * 10000 > (SELECT max(event_millis) - 7200000 FROM ad_click) GROUP BY ALL"""
+
+_LATE = f"""
+    SELECT CASE WHEN (event_millis // 60000 + 1) * 60000 <= mark THEN 'late' ELSE 'count' END AS kind,
+           {_MINUTE}, count(*) AS click_count
+    FROM arrived JOIN marks USING (arrival) GROUP BY ALL"""
+
+
 def _page_flow():
     """Moves along the pages 1, 2, 5, 3, each step against the moves of the step before."""
     return """
@@ -450,5 +487,8 @@ ORACLE = {
     "stream_ad_click_trend": _sql(_count(_MINUTE, "accepted"), "accepted"),
     "stream_running_user_counts": _sql(_count(_USER), "ad_click"),
     "stream_running_city_counts": _sql(_count(_CITY), "ad_click"),
+    "stream_sliding_trend": _sql(_SLIDING, "ad_click"),
+    "stream_pane_counts_in_state": _sql(_PANES_IN_STATE, "ad_click"),
+    "stream_minute_counts_late": _sql(_LATE, "arrived", "marks"),
     "stream_minute_counts_watermark": _sql(_count(_MINUTE), "ad_click"),
 }

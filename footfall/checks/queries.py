@@ -1,21 +1,21 @@
 """One callable ``(spark, folder) -> DataFrame`` per operator, over whole tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall import schemas
 from footfall.checks import settings as P
 from footfall.functions import labels, text
 from footfall.functions.times import format_time
-from footfall.operators import ads, journeys, products, profiles, sessions
+from footfall.operators import ads, journeys, products, profiles, sessions, sliding
 from footfall.plans.product_job import run_product_job
-from footfall.plans.replay import replay
 from footfall.plans.session_job import filtered_sessions, run_session_job
 from footfall.sinks import tables as sinks
 from footfall.sources import tables
 from footfall.sources.ad_log import ad_log_stream, parse_ad_log, rejected_lines
 from footfall.sources.event_tables import EventTables
 from footfall.streaming import counters
-from footfall.streaming.ad_stats import AdStatsStore, run_ad_stats
+from footfall.streaming.ad_stats import AdStatsStore, start_events, start_tables
 from footfall.workdir import new_dir
 
 QUERIES = {}
@@ -439,34 +439,33 @@ def _halves(t):
 
 @query
 def sink_upsert_replace(t):
-    """Running totals: the second commit carries only the keys that changed."""
+    """Running totals: the second write carries only the keys that changed."""
     early, late, every = _halves(t)
     changed = ads.city_click_counts(every).join(ads.city_click_counts(late), ads.CITY_KEYS, "left_semi")
     path = new_dir(t.spark, "upsert-replace")
-    sinks.upsert_table(ads.city_click_counts(early), path, ads.CITY_KEYS, 0, partition_by="date")
-    return sinks.upsert_table(changed, path, ads.CITY_KEYS, 1, partition_by="date").read()
+    sinks.upsert_table(ads.city_click_counts(early), path, ads.CITY_KEYS, 0)
+    sinks.upsert_table(changed, path, ads.CITY_KEYS, 1)
+    return sinks.read_table(t.spark, path, schemas.AD_STAT)
 
 
 @query
 def sink_upsert_add(t):
-    """Increments, the second commit delivered twice."""
+    """Increments, the second write delivered twice."""
     early, late, _ = _halves(t)
     path = new_dir(t.spark, "upsert-add")
-    for commit, part in ((0, early), (1, late), (1, late)):
-        table = sinks.upsert_table(
-            ads.user_click_counts(part), path, ads.USER_KEYS, commit, how="add", partition_by="date"
-        )
-    return table.read()
+    for number, part in ((0, early), (1, late), (1, late)):
+        sinks.upsert_table(ads.user_click_counts(part), path, ads.USER_KEYS, number, how="add")
+    return sinks.read_table(t.spark, path, schemas.AD_USER_CLICK_COUNT)
 
 
 @query
 def sink_insert_new(t):
     early, _, every = _halves(t)
     path = new_dir(t.spark, "insert-new")
-    for commit, part in ((0, early), (1, every), (1, every)):
+    for number, part in ((0, early), (1, every), (1, every)):
         listed = ads.blacklist(ads.user_click_counts(part), P.THRESHOLD)
-        table = sinks.insert_new(listed, path, ["user_id"], commit)
-    return table.rows().select("user_id")
+        sinks.insert_new(listed, path, ["user_id"], number)
+    return sinks.read_table(t.spark, path, schemas.AD_BLACKLIST)
 
 
 @query
@@ -478,103 +477,151 @@ def sink_replace_groups(t):
         ads.city_click_counts(late).select(*keys), keys, "left_semi"
     )
     sinks.replace_groups(ads.province_top_ads(_province_counts(early)), path, keys, 0)
-    return sinks.replace_groups(changed, path, keys, 1).read()
+    sinks.replace_groups(changed, path, keys, 1)
+    return sinks.read_table(t.spark, path, schemas.AD_PROVINCE_TOP3)
 
 
 # -- streams
 
 
-_REPLAYED = {}
+_STREAMED = {}
+
+
+def _streamed(t, name, build):
+    """What ``build(folder)`` gives after it has streamed the log, once per session and state of the tables."""
+    key = (t.spark.sparkContext.applicationId, t.folder, t.version("events", "nation", "region"), name)
+    if key not in _STREAMED:
+        _STREAMED[key] = build(new_dir(t.spark, name))
+    return _STREAMED[key]
+
+
+def _arrive(t, folder, batch, *starts):
+    """Let the log arrive in ``folder`` batch by batch; each of ``starts`` resumes a query that takes all new files."""
+    log = t.ad_log(batch.alias("batch"))
+    for number in sorted(r["batch"] for r in log.select("batch").distinct().collect()):
+        log.filter(F.col("batch") == number).select("value").write.mode("append").text(folder)
+        for running in [start() for start in starts]:
+            running.awaitTermination()
 
 
 def _live(t):
-    """The statistics after the whole log was streamed in; replayed once per session and folder."""
-    key = (t.spark.sparkContext.applicationId, t.folder, "live")
-    if key not in _REPLAYED:
-        root = new_dir(t.spark, "ad-stats")
-        store = AdStatsStore(t.spark, f"{root}/tables", fold_every=3)
-        stream = lambda: ad_log_stream(t.spark, "text", f"{root}/log")
-        _replay_log(
-            t,
-            f"{root}/log",
-            lambda: run_ad_stats(stream(), store, f"{root}/checkpoint", P.THRESHOLD, available_now=True),
-        )
-        _REPLAYED[key] = store
-    return _REPLAYED[key]
+    """The statistics after the whole log was streamed in, restarted after every batch."""
 
+    def build(root):
+        store = AdStatsStore(t.spark, f"{root}/tables")
+        store.prepare()
+        _arrive(t, f"{root}/log", P.batch_number("ts"), lambda: start_events(
+            ad_log_stream(t.spark, "text", f"{root}/log"), store, f"{root}/ck", P.THRESHOLD, available_now=True
+        ))
+        start_tables(store, f"{root}/ck", available_now=True).awaitTermination()
+        return store
 
-def _replay_log(t, folder, *starts, days=P.BATCH_DAYS):
-    batch = P.batch_number("ts", days).alias("batch")
-    log = t.ad_log(batch)
-    numbers = t.raw("events").select(batch).distinct().collect()
-    replay(log, sorted(r["batch"] for r in numbers), folder, *starts)
+    return _streamed(t, "ad-stats", build)
 
 
 @query
 def stream_ad_user_click_count(t):
-    return _live(t).user_counts.read()
+    return _live(t).user_counts()
 
 
 @query
 def stream_ad_blacklist(t):
-    return _live(t).blacklist.read()
+    return _live(t).blacklist().select("user_id")
 
 
 @query
 def stream_ad_city_click_count(t):
-    return _live(t).city_counts.read()
+    return _live(t).city_counts()
 
 
 @query
 def stream_ad_province_top3(t):
-    return _live(t).province_top.read()
+    return _live(t).province_top()
 
 
 @query
 def stream_ad_click_trend(t):
-    return _live(t).trend.read()
+    return _live(t).trend()
 
 
 _RUNNING = {
-    "ad_user_click_count": counters.running_user_counts,
-    "ad_stat": counters.running_city_counts,
-    "ad_click_trend": counters.running_minute_counts,
+    "ad_user_click_count": (counters.running_user_counts, schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS),
+    "ad_stat": (counters.running_city_counts, schemas.AD_STAT, ads.CITY_KEYS),
+    "ad_click_trend": (counters.running_minute_counts, schemas.AD_CLICK_TREND, ads.TREND_KEYS),
+    "ad_click_panes": (counters.running_pane_counts, counters.PANES, counters.PANE_KEYS),
 }
 
 
-def _running(t, name):
-    """A table kept by Spark's own streaming state, after the whole log was streamed in."""
-    key = (t.spark.sparkContext.applicationId, t.folder, "running")
-    if key not in _REPLAYED:
-        root = new_dir(t.spark, "running-counts")
-        kept = {n: counters.counter_table(t.spark, f"{root}/{n}", n) for n in _RUNNING}
+def _running(t):
+    """Folder of the tables and checkpoints of the native counters, after the whole log was streamed in."""
 
-        def starter(n):
+    def build(root):
+        def starter(name):
+            count, _, keys = _RUNNING[name]
             clicks = parse_ad_log(ad_log_stream(t.spark, "text", f"{root}/log"))
             return lambda: counters.keep_counts(
-                _RUNNING[n](clicks),
-                kept[n],
-                f"{root}/checkpoint-{n}",
-                available_now=True,
+                count(clicks), f"{root}/{name}", keys, f"{root}/ck-{name}", available_now=True,
                 partitions=t.spark.sparkContext.defaultParallelism,
             )
 
         t.spark.createDataFrame([], schemas.AD_LOG).write.text(f"{root}/log")
-        _replay_log(t, f"{root}/log", *[starter(n) for n in kept], days=9)
-        _REPLAYED[key] = kept
-    return _REPLAYED[key][name].read()
+        _arrive(t, f"{root}/log", P.batch_number("ts", 9), *[starter(n) for n in _RUNNING])
+        return root
+
+    return _streamed(t, "running-counts", build)
+
+
+def _running_table(t, name):
+    schema = _RUNNING[name][1]
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return sinks.read_table(t.spark, f"{_running(t)}/{name}", schema)
 
 
 @query
 def stream_running_user_counts(t):
-    return _running(t, "ad_user_click_count")
+    return _running_table(t, "ad_user_click_count")
 
 
 @query
 def stream_running_city_counts(t):
-    return _running(t, "ad_stat")
+    return _running_table(t, "ad_stat")
 
 
 @query
 def stream_minute_counts_watermark(t):
-    return _running(t, "ad_click_trend")
+    return _running_table(t, "ad_click_trend")
+
+
+@query
+def stream_sliding_trend(t):
+    """Clicks of the last hour at every slide of ten seconds, from the panes a stream keeps."""
+    counts = sliding.sliding_counts(_running_table(t, "ad_click_panes"))
+    return counts.select("ad_id", format_time("first_slide").alias("first_slide"), format_time("last_slide").alias("last_slide"), "click_count")
+
+
+@query
+def stream_pane_counts_in_state(t):
+    """Panes that the stream still holds in its state, read from the checkpoint."""
+    counts = counters.counts_in_state(t.spark, f"{_running(t)}/ck-ad_click_panes", ["ad_id"])
+    return counts.select(format_time("_start").alias("pane"), "ad_id", "click_count")
+
+
+@query
+def stream_minute_counts_late(t):
+    """Minute counts and late clicks of a log in which every seventh event arrives a batch late."""
+
+    def build(root):
+        t.spark.createDataFrame([], schemas.AD_LOG).write.text(f"{root}/log")
+        batch = P.batch_number("ts") + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+        clicks = parse_ad_log(ad_log_stream(t.spark, "text", f"{root}/log"))
+        _arrive(t, f"{root}/log", batch, lambda: counters.keep_minutes_and_late(
+            clicks, f"{root}/counts", f"{root}/late", f"{root}/ck", available_now=True,
+            partitions=t.spark.sparkContext.defaultParallelism,
+        ))
+        return root
+
+    root = _streamed(t, "late-clicks", build)
+    read = lambda name: sinks.read_table(t.spark, f"{root}/{name}", schemas.AD_CLICK_TREND)
+    late = read("late").groupBy(*ads.TREND_KEYS).agg(F.sum("click_count").alias("click_count"))
+    kinds = [F.lit(k).alias("kind") for k in ("count", "late")]
+    return read("counts").select(kinds[0], "*").unionByName(late.select(kinds[1], "*"))

@@ -57,6 +57,7 @@ TOP_ADS = 3
 SAMPLED_ACTIONS = 10
 BLACKLIST_THRESHOLD = 100
 TREND_MINUTES = 60
+SLIDE_SECONDS = 10
 BATCH_INTERVAL = "5 seconds"
 
 # Time patterns.

@@ -37,7 +37,8 @@ def merge_statements(table, staging, columns, keys, how, dialect="mysql"):
 
     ``replace`` upserts by key, ``add`` upserts by key and adds to the values that are there,
     ``insert_new`` adds unknown keys only, ``replace_groups`` deletes every group present in staging
-    and inserts its new rows. All but ``add`` end in the same table when they are repeated.
+    and inserts its new rows. All but ``add`` end in the same table when they are repeated; ``merge_jdbc`` makes
+    ``add`` repeatable by a ledger.
     """
     name = {c: quoted(c, dialect) for c in [*columns, *keys]}
     cols = ", ".join(name[c] for c in columns)
@@ -88,35 +89,68 @@ def staging_name(table):
     return f"{table}_staging_{uuid.uuid4().hex[:12]}"
 
 
-def merge_jdbc(df, url, table, keys, how="replace", dialect="mysql", **options):
-    """Merge ``df`` into a database table by ``keys``."""
-    _through_staging(df, url, table, lambda staging: merge_statements(table, staging, df.columns, keys, how, dialect), **options)
+def ledger_statement(ledger, delivery):
+    """SQL that enters ``delivery`` (query name, batch number) in the ledger, and changes no row if it is there.
+
+    The ledger needs a primary key over both columns: of two deliveries at once the second then fails.
+    """
+    query, batch_id = delivery
+    name, number = "'" + query.replace("'", "''") + "'", int(batch_id)
+    return (
+        f"INSERT INTO {ledger} (query_name, batch_id) SELECT {name}, {number} FROM (SELECT 1 AS one_row) o "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {ledger} l WHERE l.query_name = {name} AND l.batch_id = {number})"
+    )
+
+
+def merge_jdbc(df, url, table, keys, how="replace", dialect="mysql", delivery=None, ledger="delivered_batches", **options):
+    """Merge ``df`` into a database table by ``keys``.
+
+    ``delivery`` (query name, batch number) is entered in ``ledger`` in the transaction of the merge. A delivery that
+    is entered already changes nothing, so a micro-batch may be sent again whatever ``how`` is.
+    """
+    guard = ledger_statement(ledger, delivery) if delivery else None
+    _through_staging(
+        df, url, table, lambda staging: merge_statements(table, staging, df.columns, keys, how, dialect), guard, **options
+    )
+
+
+def publisher(url, plans, dialect="mysql", **options):
+    """A ``publish(table, rows, batch_id)`` for the live statistics: ``plans`` maps tables to (keys, how)."""
+
+    def publish(table, rows, batch_id):
+        keys, how = plans[table]
+        merge_jdbc(rows, url, table, keys, how, dialect, (table, batch_id), **options)
+
+    return publish
 
 
 def replace_task_jdbc(df, url, table, task_id, dialect="mysql", **options):
     """Make ``df`` the rows of task ``task_id``; running the task again leaves no row twice."""
-    _through_staging(df, url, table, lambda staging: replace_task_statements(table, staging, df.columns, task_id, dialect), **options)
+    _through_staging(
+        df, url, table, lambda staging: replace_task_statements(table, staging, df.columns, task_id, dialect), None, **options
+    )
 
 
-def _through_staging(df, url, table, statements, user=None, password=None, **options):
+def _through_staging(df, url, table, statements, guard, user=None, password=None, **options):
     staging = staging_name(table)
     load = write_options(url, staging, user=user, password=password, **options)
     manager = df.sparkSession._jvm.java.sql.DriverManager
     try:
         df.write.format("jdbc").options(**load).mode("overwrite").save()
-        _execute(manager, url, user, password, statements(staging))
+        _execute(manager, url, user, password, statements(staging), guard)
     finally:
         _execute(manager, url, user, password, [f"DROP TABLE IF EXISTS {staging}"])
 
 
-def _execute(manager, url, user, password, statements):
-    """Run the statements in one transaction."""
+def _execute(manager, url, user, password, statements, guard=None):
+    """Run the statements in one transaction, or none of them if ``guard`` runs first and changes no row."""
     connection = manager.getConnection(url, user, password) if user else manager.getConnection(url)
     try:
         connection.setAutoCommit(False)
         statement = connection.createStatement()
-        for sql in statements:
-            statement.executeUpdate(sql)
+        if guard is None or statement.executeUpdate(guard):
+            for sql in statements:
+                statement.executeUpdate(sql)
         connection.commit()
     except Exception:
         connection.rollback()

@@ -70,14 +70,3 @@ def rejected_lines(lines):
     """The lines ``parse_ad_log`` leaves out, each with its reason."""
     return _fields(lines).select("value", _reason().alias("reason")).filter(F.col("reason").isNotNull())
 
-
-def sort_lines(lines):
-    """Clicks and rejects in one frame, for reading a log once.
-
-    A well-formed line fills the click columns, any other one ``value`` and ``reason``.
-    """
-    tagged = _fields(lines).withColumn("reason", _reason())
-    good = F.col("reason").isNull()
-    return tagged.select(
-        *[F.when(good, F.col(c)).alias(c) for c in CLICK], F.when(~good, F.col("value")).alias("value"), "reason"
-    )

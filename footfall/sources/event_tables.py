@@ -6,7 +6,7 @@ error = plain page visit.
 
 from pyspark.sql import functions as F
 
-# Schemas read from the files once, so that later reads need no job to infer them.
+# Schemas read from the files once, so that later reads need no job to infer them; files that change are read anew.
 _SCHEMAS = {}
 
 
@@ -19,11 +19,20 @@ class EventTables:
 
     def raw(self, name):
         path = f"{self.folder}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (self.spark.sparkContext.applicationId, self.version(name))
         if key not in _SCHEMAS:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
+    def version(self, *names):
+        """What tells the files of tables from other ones at the same place: paths, lengths and times of change."""
+        found = []
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.parquet")
+            files = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+        return tuple(sorted(found))
+
     def _events(self):
         return self.raw("events").select(
             "event_id",

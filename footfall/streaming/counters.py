@@ -13,7 +13,8 @@ from footfall import constants as K
 from footfall import schemas
 from footfall.functions.times import format_date
 from footfall.operators import ads
-from footfall.sinks.keyed_table import REPLACE, KeyedTable
+from footfall.sinks import tables
+from footfall.streaming import state
 
 
 def _day_start(spark):
@@ -29,12 +30,15 @@ def _day_start(spark):
 
 
 def _running(clicks, lateness, width, keys):
+    """Counts per window and ``keys`` of clicks (event_time, ...) or of counted ones (minute, click_count, ...)."""
+    counted = "click_count" in clicks.columns
+    time = "minute" if counted else "event_time"
     start = _day_start(clicks.sparkSession) if width == "1 day" else None
-    window = F.window("event_time", width, startTime=start).alias("_w")
+    count = F.sum("click_count") if counted else F.count("*")
     return (
-        clicks.withWatermark("event_time", lateness)
-        .groupBy(window, *keys)
-        .agg(F.count("*").alias("click_count"))
+        clicks.withWatermark(time, lateness)
+        .groupBy(F.window(time, width, startTime=start).alias("_w"), *keys)
+        .agg(count.alias("click_count"))
         .withColumn("_start", F.col("_w.start"))
     )
 
@@ -57,33 +61,66 @@ def running_minute_counts(clicks, lateness="2 hours"):
     return counts.select(*ads.minute_parts("_start"), "ad_id", "click_count")
 
 
-def counter_table(spark, path, name):
-    """The table a running count is kept in; each batch replaces the keys it changed."""
-    schema, keys = {
-        "ad_user_click_count": (schemas.AD_USER_CLICK_COUNT, ads.USER_KEYS),
-        "ad_stat": (schemas.AD_STAT, ads.CITY_KEYS),
-        "ad_click_trend": (schemas.AD_CLICK_TREND, ads.TREND_KEYS),
-    }[name]
-    return KeyedTable(spark, path, schema, keys, REPLACE, partition_by="date")
+def running_pane_counts(clicks, lateness="2 hours", seconds=K.SLIDE_SECONDS):
+    """Count per pane of ``seconds`` and ad, from which sliding windows are summed (``operators.sliding``)."""
+    counts = _running(clicks, lateness, f"{seconds} seconds", ["ad_id"])
+    return counts.select(format_date("_start").alias("date"), F.col("_start").alias("pane"), "ad_id", "click_count")
 
 
-def keep_counts(counts, table, checkpoint, interval=K.BATCH_INTERVAL, available_now=False, partitions=None):
-    """Start a query that keeps ``table`` equal to the running counts.
+PANE_KEYS = ["date", "pane", "ad_id"]
+PANES = "date string, pane timestamp, ad_id bigint, click_count bigint"
+
+
+def keep_counts(counts, path, keys, checkpoint, interval=K.BATCH_INTERVAL, available_now=False, partitions=None):
+    """Start a query that keeps the table at ``path`` equal to the running counts; a batch replaces the keys it changed.
 
     ``partitions`` is the number of state partitions. It is fixed by the first run on a checkpoint
     and, unlike that of a batch shuffle, not adapted at run time, so size it for the full state;
     by default it is the session's ``spark.sql.shuffle.partitions``.
     """
-    writer = (
-        counts.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda rows, batch_id: table.write(rows, batch_id))
-    )
+
+    def write(rows, batch_id):
+        with tables.computed(rows) as rows:
+            tables.upsert_table(rows, path, keys, batch_id)
+
+    writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _start(counts.sparkSession, writer, interval, available_now, partitions)
+
+
+def _start(spark, writer, interval, available_now, partitions):
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    conf, name = counts.sparkSession.conf, "spark.sql.shuffle.partitions"
+    conf, name = spark.conf, "spark.sql.shuffle.partitions"
     usual = conf.get(name)
     conf.set(name, str(partitions or usual))
     try:
         return writer.start()
     finally:
         conf.set(name, usual)
+
+
+def keep_minutes_and_late(clicks, counts_path, late_path, checkpoint, lateness="2 hours", interval=K.BATCH_INTERVAL,
+                          available_now=False, partitions=None):
+    """Start a query that keeps minute counts at ``counts_path`` and clicks that came too late for them at ``late_path``.
+
+    Every click ends in one of the two, so counts and late clicks add up to the input.
+    """
+
+    def write(rows, batch_id):
+        with tables.computed(rows) as rows:
+            minute = F.timestamp_millis("minute_ms")
+            timed = rows.select("kind", *ads.minute_parts(minute), "ad_id", "click_count")
+            counts = timed.filter(F.col("kind") == state.COUNT).drop("kind")
+            tables.upsert_table(counts, counts_path, ads.TREND_KEYS, batch_id)
+            tables.write_batch(timed.filter(F.col("kind") == state.LATE).drop("kind"), late_path, batch_id)
+
+    out = state.minute_counts_with_late(clicks, lateness)
+    writer = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _start(clicks.sparkSession, writer, interval, available_now, partitions)
+
+
+def counts_in_state(spark, checkpoint, keys):
+    """The running counts as the newest state of the native counter with ``checkpoint`` holds them."""
+    rows = spark.read.format("statestore").load(checkpoint)
+    start = F.col("key").getField("_w" if "_w" in rows.schema["key"].dataType.names else rows.schema["key"].dataType.names[0])
+    count = F.col("value").getField(rows.schema["value"].dataType.names[0])
+    return rows.select(start.getField("start").alias("_start"), *[F.col(f"key.{k}").alias(k) for k in keys], count.alias("click_count"))

@@ -4,8 +4,9 @@ import pytest
 
 from footfall import schemas
 from footfall.sinks import tables
-from footfall.sinks.jdbc import merge_statements, quoted, replace_task_statements, staging_name, write_options
-from footfall.sinks.keyed_table import KeyedTable, _cover
+from footfall.sinks.jdbc import (
+    _execute, ledger_statement, merge_statements, quoted, replace_task_statements, staging_name, write_options,
+)
 from footfall.sources.jdbc import jdbc_options
 
 KEYS = ["date", "user_id", "ad_id"]
@@ -19,8 +20,13 @@ def counts(spark):
     return make
 
 
-def content(table):
-    return sorted((r["user_id"], r["ad_id"], r["click_count"]) for r in table.read().collect())
+@pytest.fixture
+def content(spark, folder):
+    def read(path=folder):
+        rows = tables.read_table(spark, path, schemas.AD_USER_CLICK_COUNT).collect()
+        return sorted((r["user_id"], r["ad_id"], r["click_count"]) for r in rows)
+
+    return read
 
 
 def test_append_keeps_sink_order_and_duplicates(spark, folder):
@@ -32,30 +38,59 @@ def test_append_keeps_sink_order_and_duplicates(spark, folder):
     assert [tuple(r) for r in back.collect()] == [(1, 2, 3, 4, 5)] * 2
 
 
-def test_upsert_replace(counts, folder):
-    table = tables.upsert_table(counts((1, 1, 5), (2, 1, 7)), folder, KEYS, 0)
+def test_upsert_replace(counts, content, folder):
+    tables.upsert_table(counts((1, 1, 5), (2, 1, 7)), folder, KEYS, 0)
     tables.upsert_table(counts((1, 1, 9), (3, 1, 1)), folder, KEYS, 1)
-    assert content(table) == [(1, 1, 9), (2, 1, 7), (3, 1, 1)]
+    assert content() == [(1, 1, 9), (2, 1, 7), (3, 1, 1)]
 
 
-def test_upsert_add_counts_a_replayed_commit_once(counts, folder):
-    table = tables.upsert_table(counts((1, 1, 5)), folder, KEYS, 0, how="add", partition_by="date")
+def test_upsert_add_counts_a_write_sent_again_once(counts, content, folder):
+    tables.upsert_table(counts((1, 1, 5)), folder, KEYS, 0, how="add")
     for _ in range(3):
-        tables.upsert_table(counts((1, 1, 2), (2, 1, 1)), folder, KEYS, 1, how="add", partition_by="date")
-    assert content(table) == [(1, 1, 7), (2, 1, 1)]
+        tables.upsert_table(counts((1, 1, 2), (2, 1, 1), (2, 1, 1)), folder, KEYS, 1, how="add")
+    assert content() == [(1, 1, 7), (2, 1, 2)]
     with pytest.raises(ValueError):
         tables.upsert_table(counts(), folder, KEYS, 2, how="multiply")
 
 
+def test_a_write_that_died_while_folders_were_replaced_is_put_right(spark, counts, content, folder, monkeypatch):
+    tables.upsert_table(counts((1, 1, 5), (2, 1, 7)), folder, KEYS, 0, how="add")
+    overwrite = tables._overwrite_folders
+
+    def dies(rows, path, by):
+        tables._remove(spark, f"{path}/date=2024-01-01")
+        raise RuntimeError("executor and driver gone")
+
+    monkeypatch.setattr(tables, "_overwrite_folders", dies)
+    with pytest.raises(RuntimeError):
+        tables.upsert_table(counts((1, 1, 1)), folder, KEYS, 1, how="add")
+    monkeypatch.setattr(tables, "_overwrite_folders", overwrite)
+    tables.upsert_table(counts((1, 1, 1)), folder, KEYS, 1, how="add")
+    assert content() == [(1, 1, 6), (2, 1, 7)]
+
+
+def test_other_days_are_left_alone(spark, folder):
+    def day(d, n):
+        return spark.createDataFrame([(f"2024-01-0{d}", 1, 1, n)], schemas.AD_USER_CLICK_COUNT)
+
+    files = lambda d: sorted(os.listdir(f"{folder}/date=2024-01-0{d}"))
+    tables.upsert_table(day(1, 1).union(day(2, 1)), folder, KEYS, 0)
+    before = files(1), files(2)
+    tables.upsert_table(day(2, 5), folder, KEYS, 1)
+    assert files(1) == before[0] and files(2) != before[1]
+    # Merged rows of earlier writes are cleared away.
+    assert os.listdir(f"{folder}.writes") == ["1"]
+
+
 def test_insert_new(spark, folder):
     def users(*ids):
         return spark.createDataFrame([(i,) for i in ids], schemas.AD_BLACKLIST)
 
-    table = tables.insert_new(users(1, 2, 2), folder, ["user_id"], 0)
+    tables.insert_new(users(1, 2, 2), folder, ["user_id"], 0)
     for _ in range(2):
         tables.insert_new(users(2, 3), folder, ["user_id"], 1)
-    assert sorted(r["user_id"] for r in table.rows().collect()) == [1, 2, 3]
-    assert sorted(r["user_id"] for r in table.rows(before=1).collect()) == [1, 2]
+    read = tables.read_table(spark, folder, schemas.AD_BLACKLIST)
+    assert sorted(r["user_id"] for r in read.collect()) == [1, 2, 3]
 
 
 def test_replace_groups(spark, folder):
@@ -63,69 +98,63 @@ def test_replace_groups(spark, folder):
         return spark.createDataFrame(rows, schemas.AD_PROVINCE_TOP3)
 
     keys = ["date", "province"]
-    table = tables.replace_groups(top(("d1", "p", 1, 9), ("d1", "p", 2, 8), ("d1", "q", 3, 1)), folder, keys, 0)
+    tables.replace_groups(top(("d1", "p", 1, 9), ("d1", "p", 2, 8), ("d1", "q", 3, 1)), folder, keys, 0)
     tables.replace_groups(top(("d1", "p", 5, 10)), folder, keys, 1)
-    assert sorted(tuple(r) for r in table.read().collect()) == [("d1", "p", 5, 10), ("d1", "q", 3, 1)]
-
-
-@pytest.mark.parametrize("rule", ["add", "replace", "first"])
-def test_folding_changes_no_result(spark, counts, folder, rule):
-    plain = KeyedTable(spark, f"{folder}/plain", schemas.AD_USER_CLICK_COUNT, KEYS, rule, "date", fold_every=100)
-    folded = KeyedTable(spark, f"{folder}/folded", schemas.AD_USER_CLICK_COUNT, KEYS, rule, "date", fold_every=2)
-    for commit in range(9):
-        for table in (plain, folded):
-            table.write(counts((commit % 3, 1, commit + 1), (7, commit, 1)), commit)
-    assert content(folded) == content(plain)
-    assert content(folded) and len(_cover(folded._spans())) < len(_cover(plain._spans()))
-    for before in (0, 7, 8):
-        assert sorted(map(tuple, folded.read(before).collect())) == sorted(map(tuple, plain.read(before).collect()))
-
-
-def test_replaced_folders_go_and_old_commits_are_closed(spark, counts, folder):
-    table = KeyedTable(spark, folder, schemas.AD_USER_CLICK_COUNT, KEYS, "add", "date", fold_every=2)
-    for commit in range(8):
-        table.write(counts((1, 1, 10**commit)), commit)
-    assert sorted(table._spans()) == [
-        (0, 3), (0, 7), (4, 4), (4, 5), (4, 7), (5, 5), (6, 6), (6, 7), (7, 7),
-    ]
-    assert content(table) == [(1, 1, 11111111)]
-    with pytest.raises(ValueError, match="already folded"):
-        table.write(counts((1, 1, 5)), 0)
-    with pytest.raises(ValueError, match="told apart"):
-        table.read(before=1)
-    table.write(counts((1, 1, 0)), 7)
-    assert content(table) == [(1, 1, 1111111)]
-
-
-def test_rewriting_an_old_commit_reaches_its_folds(spark, counts, folder):
-    table = KeyedTable(spark, folder, schemas.AD_USER_CLICK_COUNT, KEYS, "add", "date", fold_every=2)
-    for commit in range(4):
-        table.write(counts((1, 1, 10**commit)), commit)
-    assert content(table) == [(1, 1, 1111)]
-    table.write(counts((1, 1, 5)), 1)
-    assert content(table) == [(1, 1, 1106)]
-
-
-def test_half_written_commit_is_not_read(counts, folder):
-    table = tables.upsert_table(counts((1, 1, 5)), folder, KEYS, 0)
-    tables.upsert_table(counts((1, 1, 9)), folder, KEYS, 1)
-    os.remove(f"{folder}/span=1_1/_SUCCESS")
-    assert content(table) == [(1, 1, 5)]
-
-
-def test_where_prunes_folders(spark, folder):
-    rows = [(f"2024-01-0{d}", 1, 1, d) for d in range(1, 6)]
-    df = spark.createDataFrame(rows, schemas.AD_USER_CLICK_COUNT)
-    table = tables.upsert_table(df, folder, KEYS, 0, how="add", partition_by="date")
-    read = table.read(where="date = '2024-01-02'")
-    assert [r["click_count"] for r in read.collect()] == [2]
-    plan = read._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
-
-
-def test_empty_table_reads_as_no_rows(spark, folder):
-    table = KeyedTable(spark, f"{folder}/none", schemas.AD_USER_CLICK_COUNT, KEYS, "add")
-    assert table.read().count() == 0 and table.read().columns == schemas.AD_USER_CLICK_COUNT.names
+    read = tables.read_table(spark, folder, schemas.AD_PROVINCE_TOP3)
+    assert sorted(tuple(r) for r in read.collect()) == [("d1", "p", 5, 10), ("d1", "q", 3, 1)]
+
+
+def test_nothing_written_yet(spark, counts, content, folder):
+    assert content(f"{folder}/none") == []
+    tables.upsert_table(counts(), f"{folder}/none", KEYS, 0)
+    assert content(f"{folder}/none") == []
+
+
+class Database:
+    """Stands for a connection: notes what is run, and knows which ledger entries it has seen."""
+
+    def __init__(self):
+        self.ran, self.open, self.ledger = [], [], set()
+
+    getConnection = createStatement = lambda self, *_: self
+    setAutoCommit = close = lambda self, *_: None
+
+    def executeUpdate(self, sql):
+        if "FAIL" in sql:
+            raise RuntimeError("lost connection")
+        known = sql.startswith("INSERT INTO ledger") and sql in self.ledger
+        if not known:
+            self.open.append(sql)
+        return 0 if known else 1
+
+    def commit(self):
+        self.ledger |= {s for s in self.open if s.startswith("INSERT INTO ledger")}
+        self.ran, self.open = self.ran + [s for s in self.open if not s.startswith("INSERT INTO ledger")], []
+
+    def rollback(self):
+        self.open = []
+
+
+def test_a_delivery_is_merged_once():
+    database, guard = Database(), ledger_statement("ledger", ("ad_stat", 7))
+    with pytest.raises(RuntimeError):
+        _execute(database, "u", None, None, ["UPDATE t", "FAIL"], guard)
+    assert database.ran == [] and database.ledger == set()
+    for _ in range(3):
+        _execute(database, "u", None, None, ["UPDATE t", "INSERT t"], guard)
+    assert database.ran == ["UPDATE t", "INSERT t"]
+    _execute(database, "u", None, None, ["UPDATE t"], ledger_statement("ledger", ("ad_stat", 8)))
+    _execute(database, "u", None, None, ["DROP s"])
+    assert database.ran == ["UPDATE t", "INSERT t", "UPDATE t", "DROP s"]
+
+
+def test_ledger_statement():
+    assert ledger_statement("l", ("it's", 3)) == (
+        "INSERT INTO l (query_name, batch_id) SELECT 'it''s', 3 FROM (SELECT 1 AS one_row) o "
+        "WHERE NOT EXISTS (SELECT 1 FROM l l WHERE l.query_name = 'it''s' AND l.batch_id = 3)"
+    )
+    with pytest.raises(ValueError):
+        ledger_statement("l", ("q", "1 OR 1=1"))
 
 
 def test_jdbc_options():

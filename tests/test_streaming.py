@@ -1,18 +1,20 @@
+import datetime
 import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from footfall import schemas
+from footfall.operators import ads, sliding
+from footfall.sinks import tables
 from footfall.sources.ad_log import ad_log_stream, parse_ad_log
 from footfall.streaming import counters
-from footfall.streaming.ad_stats import AdStatsStore, apply_batch, run_ad_stats
+from footfall.streaming.ad_stats import AdStatsStore, run_ad_stats, start_events
 from tests.test_ads import DAY, T0, line, micro_batches
 
-
-@pytest.fixture
-def log(spark):
-    return lambda lines: spark.createDataFrame([(v,) for v in lines], schemas.AD_LOG)
+MINUTE = 60_000
 
 
 def arrive(spark, folder, lines):
@@ -24,52 +26,52 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_blacklist_takes_effect_in_the_next_batch(spark, folder, log):
-    store = AdStatsStore(spark, folder)
-    apply_batch(store, log([line()] * 3), 0, threshold=3)
-    assert rows(store.blacklist.read()) == []
-    apply_batch(store, log([line()] * 4 + [line(user=2)]), 1, threshold=3)
-    assert rows(store.blacklist.read()) == [(1,)]
-    apply_batch(store, log([line()] * 5 + [line(user=2)]), 2, threshold=3)
-    assert rows(store.user_counts.read()) == [("2024-01-01", 1, 1, 7), ("2024-01-01", 2, 1, 2)]
-    assert rows(store.city_counts.read()) == [("2024-01-01", "p", "c", 1, 9)]
-    assert rows(store.trend.read()) == [("2024-01-01", "00", "00", 1, 9)]
-
-
-def test_a_replayed_batch_changes_nothing(spark, folder, log):
-    store = AdStatsStore(spark, folder, fold_every=2)
-    batches = [[line()] * 3 + ["bad"], [line()] * 2 + [line(user=2, ad=5)], [line(), line(user=2, ad=5)]]
-    for number, lines in enumerate(batches):
-        apply_batch(store, log(lines), number, threshold=3)
-    tables = (store.user_counts, store.blacklist, store.city_counts, store.province_top, store.trend, store.rejects)
-    before = [rows(t.read()) for t in tables]
-    for number in (1, 2):
-        apply_batch(store, log(batches[number]), number, threshold=3)
-    assert [rows(t.read()) for t in tables] == before
-    assert rows(store.rejects.read()) == [("bad", "field count", 1)]
-
-
-def test_top_ads_follow_the_running_totals(spark, folder, log):
-    store = AdStatsStore(spark, folder)
-    apply_batch(store, log([line(ad=a, user=a) for a in (1, 2, 3, 4)] + [line(T0 + DAY, ad=8)]), 0)
-    apply_batch(store, log([line(ad=4, user=9), line(ad=4, user=8), line(ad=3, user=7)]), 1)
-    assert rows(store.province_top.read()) == [
-        ("2024-01-01", "p", 1, 1), ("2024-01-01", "p", 3, 2), ("2024-01-01", "p", 4, 3), ("2024-01-02", "p", 8, 1),
+class Live:
+    """The statistics over a folder of log files; every ``send`` is one micro-batch of a restarted query."""
+
+    def __init__(self, spark, folder, **options):
+        self.spark, self.folder, self.options = spark, folder, options
+        self.store = AdStatsStore(spark, f"{folder}/store")
+
+    def send(self, *lines, events_only=False):
+        arrive(self.spark, f"{self.folder}/log", lines)
+        stream = ad_log_stream(self.spark, "text", f"{self.folder}/log")
+        if events_only:
+            self.store.prepare()
+            kept = {k: v for k, v in self.options.items() if k in ("threshold", "ttl_days")}
+            start_events(stream, self.store, f"{self.folder}/ck", available_now=True, **kept).awaitTermination()
+        else:
+            run_ad_stats(stream, self.store, f"{self.folder}/ck", available_now=True, **self.options).awaitTermination()
+
+
+def test_live_statistics_over_restarts(spark, folder):
+    seen = {}
+    live = Live(spark, folder, threshold=3, publish=lambda name, df, batch: seen.setdefault(name, []).append(rows(df)))
+    live.send(*[line()] * 3, "bad", line(T0 + DAY, user=8, ad=8), *[line(ad=a, user=a) for a in (2, 3, 4)])
+    assert rows(live.store.blacklist()) == []
+    # User 1 exceeds the limit in this batch: all its clicks still count.
+    live.send(*[line()] * 4, line(user=2), line(ad=4, user=9), line(ad=4, user=6), line(ad=3, user=7))
+    (listed,) = rows(live.store.blacklist())
+    assert listed[0] == 1
+    # From now on user 1 is dropped.
+    live.send(*[line()] * 5, line(user=2), "bad")
+    assert rows(live.store.blacklist()) == [listed]
+    counts = {(u, a): n for d, u, a, n in rows(live.store.user_counts()) if d == "2024-01-01"}
+    assert counts == {(1, 1): 7, (2, 1): 2, (2, 2): 1, (3, 3): 1, (4, 4): 1, (6, 4): 1, (7, 3): 1, (9, 4): 1}
+    assert rows(live.store.city_counts()) == [
+        ("2024-01-01", "p", "c", 1, 9), ("2024-01-01", "p", "c", 2, 1), ("2024-01-01", "p", "c", 3, 2), ("2024-01-01", "p", "c", 4, 3),
+        ("2024-01-02", "p", "c", 8, 1),
     ]
-
-
-def test_published_rows_are_the_changed_totals(spark, folder, log):
-    store, seen = AdStatsStore(spark, folder), {}
-    publish = lambda name, df, batch: seen.__setitem__((name, batch), rows(df))
-    apply_batch(store, log([line()] * 2 + [line(user=2)]), 0, threshold=2, publish=publish)
-    apply_batch(store, log([line()]), 1, threshold=2, publish=publish)
-    apply_batch(store, log([line()]), 2, threshold=1, publish=publish)
-    assert seen["ad_user_click_count", 1] == [("2024-01-01", 1, 1, 3)]
-    assert seen["ad_stat", 1] == [("2024-01-01", "p", "c", 1, 4)]
-    assert seen["ad_blacklist", 1] == [(1,)]
-    assert seen["ad_province_top3", 1] == [("2024-01-01", "p", 1, 4)]
-    assert seen["ad_click_trend", 1] == [("2024-01-01", "00", "00", 1, 4)]
-    assert seen["ad_user_click_count", 2] == [] and seen["ad_blacklist", 2] == []
+    assert rows(live.store.province_top()) == [
+        ("2024-01-01", "p", 1, 9), ("2024-01-01", "p", 3, 2), ("2024-01-01", "p", 4, 3), ("2024-01-02", "p", 8, 1),
+    ]
+    assert ("2024-01-01", "00", "00", 1, 9) in rows(live.store.trend())
+    assert rows(live.store.rejects()) == [("bad", "field count")] * 2
+    # Only what a batch changed is handed on; the best ads not at all if they are the same.
+    assert seen["ad_blacklist"][1] == [(1,)]
+    assert [("2024-01-01", 1, 1, 7)] == [r for r in seen["ad_user_click_count"][1] if r[1] == 1]
+    assert ("2024-01-02", "p", 8, 1) in seen["ad_province_top3"][0]
+    assert all(r[0] == "2024-01-01" for later in seen["ad_province_top3"][1:] for r in later)
 
 
 def test_stream_equals_the_batch_model(spark, folder):
@@ -80,67 +82,134 @@ def test_stream_equals_the_batch_model(spark, folder):
         user = 1 if rng.random() < 0.35 else rng.randrange(2, 12)
         clicks.append((rng.randrange(4), rng.randrange(2), user, rng.randrange(3), rng.choice("ab")))
     listed, accepted = micro_batches(clicks, 5)
-    store = AdStatsStore(spark, f"{folder}/store", fold_every=2)
+    live = Live(spark, folder, threshold=5)
     for batch in range(4):
-        arrive(spark, f"{folder}/log", [f"{T0 + d * DAY} p {c} {u} {a}" for b, d, u, a, c in clicks if b == batch])
-        stream = ad_log_stream(spark, "text", f"{folder}/log")
-        run_ad_stats(stream, store, f"{folder}/ck", threshold=5, available_now=True).awaitTermination()
-    assert {r["user_id"] for r in store.blacklist.read().collect()} == set(listed)
+        lines = [f"{T0 + d * DAY} p {c} {u} {a}" for b, d, u, a, c in clicks if b == batch]
+        live.send(*lines, events_only=batch < 3)
+    assert {r["user_id"] for r in live.store.blacklist().collect()} == set(listed)
     want = Counter((f"2024-01-0{d + 1}", u, a) for _, d, u, a, _ in accepted)
-    got = {(r["date"], r["user_id"], r["ad_id"]): r["click_count"] for r in store.user_counts.read().collect()}
+    got = {(r["date"], r["user_id"], r["ad_id"]): r["click_count"] for r in live.store.user_counts().collect()}
     assert got == want
     want = Counter((f"2024-01-0{d + 1}", c, a) for _, d, _, a, c in accepted)
-    got = {(r["date"], r["city"], r["ad_id"]): r["click_count"] for r in store.city_counts.read().collect()}
+    got = {(r["date"], r["city"], r["ad_id"]): r["click_count"] for r in live.store.city_counts().collect()}
     assert got == want
 
 
-def test_a_failing_sink_fails_the_batch(spark, folder):
-    arrive(spark, f"{folder}/log", [line()])
+def test_a_failing_sink_fails_the_batch_and_is_sent_again(spark, folder):
+    down = [True]
 
     def publish(name, df, batch):
-        raise RuntimeError("sink is down")
+        if name == "ad_stat" and down[0]:
+            raise RuntimeError("sink is down")
 
-    query = run_ad_stats(ad_log_stream(spark, "text", f"{folder}/log"), AdStatsStore(spark, f"{folder}/s"),
-                         f"{folder}/ck", available_now=True, publish=publish)
+    live = Live(spark, folder, publish=publish)
     with pytest.raises(Exception, match="sink is down"):
-        query.awaitTermination()
+        live.send(line(), line())
+    down[0] = False
+    live.send()
+    assert rows(live.store.city_counts()) == [("2024-01-01", "p", "c", 1, 2)]
+
+
+def keep_minutes(spark, folder, lines):
+    arrive(spark, f"{folder}/log", lines)
+    counts = counters.running_minute_counts(parse_ad_log(ad_log_stream(spark, "text", f"{folder}/log")))
+    counters.keep_counts(counts, f"{folder}/t", ads.TREND_KEYS, f"{folder}/ck", available_now=True).awaitTermination()
 
 
 def test_late_clicks_correct_their_minute_until_the_watermark(spark, folder):
-    minute = 60_000
-    table = counters.counter_table(spark, f"{folder}/t", "ad_click_trend")
     for lines in (
-        [line(T0 + 300 * minute)],
-        [line(T0 + 301 * minute)],
+        [line(T0 + 300 * MINUTE)],
+        [line(T0 + 301 * MINUTE)],
         # The watermark now stands two hours before minute 301.
-        [line(T0 + 300 * minute), line(T0 + 200 * minute), line(T0 + 100 * minute)],
+        [line(T0 + 300 * MINUTE), line(T0 + 200 * MINUTE), line(T0 + 100 * MINUTE)],
     ):
-        arrive(spark, f"{folder}/log", lines)
-        counts = counters.running_minute_counts(parse_ad_log(ad_log_stream(spark, "text", f"{folder}/log")))
-        counters.keep_counts(counts, table, f"{folder}/ck", available_now=True).awaitTermination()
-    assert rows(table.read()) == [
+        keep_minutes(spark, folder, lines)
+    assert rows(tables.read_table(spark, f"{folder}/t", schemas.AD_CLICK_TREND)) == [
         ("2024-01-01", "03", "20", 1, 1), ("2024-01-01", "05", "00", 1, 2), ("2024-01-01", "05", "01", 1, 1),
     ]
+    # State holds what the watermark (05:01 less two hours) has not passed.
+    held = counters.counts_in_state(spark, f"{folder}/ck", ["ad_id"]).select(F.date_format("_start", "HH:mm"), "click_count")
+    assert rows(held) == [("03:20", 1), ("05:00", 2), ("05:01", 1)]
+
+
+def test_late_clicks_come_out_on_the_side(spark, folder):
+    sent = [
+        [line(T0 + 300 * MINUTE), line(T0 + 300 * MINUTE, ad=2)],
+        [line(T0 + 301 * MINUTE), line(T0 + 300 * MINUTE)],
+        [line(T0 + 300 * MINUTE), line(T0 + 200 * MINUTE), line(T0 + 100 * MINUTE), line(T0 + 180 * MINUTE), line(T0 + 181 * MINUTE)],
+        [line(T0 + 9 * DAY), line(T0 + 100 * MINUTE, ad=7)],
+        [line(T0 + 300 * MINUTE)],
+    ]
+    for lines in sent:
+        arrive(spark, f"{folder}/log", lines)
+        clicks = parse_ad_log(ad_log_stream(spark, "text", f"{folder}/log"))
+        counters.keep_minutes_and_late(clicks, f"{folder}/t", f"{folder}/late", f"{folder}/ck", available_now=True).awaitTermination()
+    counts, late = (rows(tables.read_table(spark, f"{folder}/{n}", schemas.AD_CLICK_TREND)) for n in ("t", "late"))
+    assert late == [
+        ("2024-01-01", "01", "40", 1, 1), ("2024-01-01", "01", "40", 7, 1), ("2024-01-01", "03", "00", 1, 1), ("2024-01-01", "05", "00", 1, 1),
+    ]
+    assert ("2024-01-01", "05", "00", 1, 3) in counts and ("2024-01-01", "03", "01", 1, 1) in counts
+    assert sum(r[-1] for r in counts + late) == sum(map(len, sent))
 
 
 def test_running_counts_keep_days_and_cities_apart(spark, folder):
     batches = [[line(), line(user=2)], [line(), line(T0 + DAY), line(city="d")]]
-    users = counters.counter_table(spark, f"{folder}/u", "ad_user_click_count")
-    places = counters.counter_table(spark, f"{folder}/c", "ad_stat")
     for lines in batches:
         arrive(spark, f"{folder}/log", lines)
         clicks = parse_ad_log(ad_log_stream(spark, "text", f"{folder}/log"))
-        for counts, table, name in (
-            (counters.running_user_counts(clicks), users, "u"),
-            (counters.running_city_counts(clicks), places, "c"),
+        for counts, keys, name in (
+            (counters.running_user_counts(clicks), ads.USER_KEYS, "u"),
+            (counters.running_city_counts(clicks), ads.CITY_KEYS, "c"),
         ):
-            counters.keep_counts(counts, table, f"{folder}/ck-{name}", available_now=True).awaitTermination()
-    assert rows(users.read()) == [("2024-01-01", 1, 1, 3), ("2024-01-01", 2, 1, 1), ("2024-01-02", 1, 1, 1)]
-    assert rows(places.read()) == [
+            counters.keep_counts(counts, f"{folder}/{name}", keys, f"{folder}/ck-{name}", available_now=True).awaitTermination()
+    users = tables.read_table(spark, f"{folder}/u", schemas.AD_USER_CLICK_COUNT)
+    places = tables.read_table(spark, f"{folder}/c", schemas.AD_STAT)
+    assert rows(users) == [("2024-01-01", 1, 1, 3), ("2024-01-01", 2, 1, 1), ("2024-01-02", 1, 1, 1)]
+    assert rows(places) == [
         ("2024-01-01", "p", "c", 1, 3), ("2024-01-01", "p", "d", 1, 1), ("2024-01-02", "p", "c", 1, 1),
     ]
 
 
+def pane_table(spark, clicks, seconds):
+    """Panes of (second, ad) clicks."""
+    panes = Counter((s - s % seconds, a) for s, a in clicks)
+    made = [(datetime.datetime.fromtimestamp(s, datetime.UTC), a, n) for (s, a), n in panes.items()]
+    return spark.createDataFrame(made, StructType.fromDDL("pane timestamp, ad_id long, click_count long"))
+
+
+@pytest.mark.parametrize("minutes, seconds", [(60, 10), (1, 10), (2, 60)])
+def test_sliding_windows_at_every_slide(spark, minutes, seconds):
+    rng, width = random.Random(minutes), minutes * 60
+    base = T0 // 1000
+    clicks = [(base + rng.randrange(3 * width), rng.randrange(3)) for _ in range(60)] + [(base - 1, 1), (base, 1), (base + width, 1), (-5, 2)]
+    counts = sliding.sliding_counts(pane_table(spark, clicks, seconds), minutes, seconds)
+    got = {(r["ad_id"], int(r["slide"].timestamp())): r["click_count"] for r in sliding.at_slides(counts, seconds).collect()}
+    want = Counter()
+    for s, ad in clicks:
+        first = s - s % seconds + seconds
+        want.update((ad, slide) for slide in range(first, first + width, seconds))
+    assert got == want
+
+
+def test_a_minute_that_leaves_the_window_keeps_its_count(spark, folder):
+    """The reader's window moves on; the stored count of the minute stays whole."""
+    keep_minutes(spark, folder, [line(T0)] * 5)
+    keep_minutes(spark, folder, [line(T0 + 30 * MINUTE)])
+    keep_minutes(spark, folder, [line(T0 + 62 * MINUTE)])
+    trend = tables.read_table(spark, f"{folder}/t", schemas.AD_CLICK_TREND)
+    assert ("2024-01-01", "00", "00", 1, 5) in rows(trend)
+    assert [r[-1] for r in rows(ads.recent_trend(trend, "2024-01-01 01:02"))] == [1, 1]
+    clicks = [(T0 // 1000, 1)] * 5 + [(T0 // 1000 + 1800, 1), (T0 // 1000 + 3720, 1)]
+    counts = sliding.at_slides(sliding.sliding_counts(pane_table(spark, clicks, 10)))
+    at = {r["slide"].strftime("%H:%M:%S"): r["click_count"] for r in counts.collect()}
+    assert (at["00:00:10"], at["01:00:00"], at["01:00:10"], at["01:30:10"]) == (5, 6, 1, 1)
+
+
+def test_sliding_sums_are_split_by_ad_and_window(spark):
+    plan = sliding.sliding_counts(pane_table(spark, [(0, 1)], 10))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(ad_id" in plan and "_block" in plan and plan.count("Exchange hashpartitioning") <= 2
+
+
 def test_days_are_those_of_the_session_zone(spark, folder):
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
