@@ -420,6 +420,7 @@ ORACLE = {
     "order_category_counts": _kind_counts("order"),
     "pay_category_counts": _kind_counts("pay"),
     "category_counts": _sql(_category_counts(), "enriched"),
+    "top10_categories_bucketed": _sql(_category_counts() + _TOP_CATEGORIES, "enriched"),
     "top10_categories": _sql(_category_counts() + _TOP_CATEGORIES, "enriched"),
     "sample_actions": _sql(
         _SAMPLE.format(columns="seq, " + _ACTION_COLUMNS, keys="CAST(seq AS VARCHAR)"), "user_visit_action"

@@ -111,8 +111,9 @@ def area_product_clicks_sql(t):
     text.register_sql_functions(t.spark)
     return t.spark.sql(
         "SELECT area, product_id, count(*) AS click_count, "
-        "sorted_csv(collect_set(concat_long_string(city_id, city_name, ':'))) AS city_infos "
-        "FROM {clicks} JOIN {cities} USING (city_id) GROUP BY area, product_id",
+        "listagg(DISTINCT city_info, ',') WITHIN GROUP (ORDER BY city_info) AS city_infos "
+        "FROM (SELECT area, product_id, concat_long_string(city_id, city_name, ':') AS city_info "
+        "FROM {clicks} JOIN {cities} USING (city_id)) GROUP BY area, product_id",
         clicks=_clicks(t),
         cities=t.cities,
     )
@@ -437,6 +438,14 @@ def _halves(t):
     return clicks.filter(F.col("batch") < P.SECOND_HALF), clicks.filter(F.col("batch") >= P.SECOND_HALF), clicks
 
 
+@query
+def top10_categories_bucketed(t):
+    """Top categories of the filtered sessions, from actions stored in buckets of their session."""
+    stored = sinks.store_bucketed(t.actions, new_dir(t.spark, "bucketed-actions"), "session_id", P.BUCKETS)
+    chosen = filtered_sessions(stored, t.users, P.AGE)
+    return sessions.top_categories(sessions.category_counts(sessions.visited_in_sessions(stored, chosen)))
+
+
 @query
 def sink_upsert_replace(t):
     """Running totals: the second write carries only the keys that changed."""

@@ -60,3 +60,6 @@ SECOND_HALF = 4
 def batch_number(ts, days=BATCH_DAYS):
     seconds = F.unix_seconds(F.col(ts).cast("timestamp")) - FIRST_SECOND
     return F.floor(seconds / int(days * 86_400))
+
+# Buckets of the stored actions; at scale as many as make buckets of about 128 MB.
+BUCKETS = 16

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from footfall import constants as K
-from footfall.functions.text import json_field
+from footfall.functions.text import document_field, json_document
 
 
 def in_bucket(c, bounds):
@@ -24,5 +24,5 @@ def area_level(c, levels=None, other=K.OTHER_AREA_LEVEL):
 
 def product_status(extend_info):
     """Who sells the product; compared as text, so unreadable values count as third party."""
-    own = F.coalesce(json_field(extend_info, "product_status") == "0", F.lit(False))
+    own = F.coalesce(document_field(json_document(extend_info), "product_status") == "0", F.lit(False))
     return F.when(own, K.SELF_OPERATED).otherwise(K.THIRD_PARTY)

@@ -115,6 +115,16 @@ def json_field(c, field):
     return F.get_json_object(_col(c), f"$.{field}")
 
 
+def json_document(c):
+    """A JSON document as a VARIANT, to take several fields of one parse; null when the JSON is bad."""
+    return F.try_parse_json(_col(c))
+
+
+def document_field(document, field, kind="string"):
+    """Top-level field of a VARIANT document; null when absent, null or not readable as ``kind``."""
+    return F.try_variant_get(document, f"$.{field}", kind)
+
+
 def _quote(sep):
     return f"[{sep}]" if sep in ",|_ " else sep
 
@@ -122,7 +132,8 @@ def _quote(sep):
 def register_sql_functions(spark):
     """The scalar helpers under their SQL names, as SQL functions that the optimizer inlines.
 
-    ``group_concat_distinct`` is an aggregate: in SQL text write ``sorted_csv(collect_set(x))``.
+    ``group_concat_distinct`` is an aggregate: in SQL text write
+    ``listagg(DISTINCT x, ',') WITHIN GROUP (ORDER BY x)``.
     """
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION concat_long_string(number BIGINT, text STRING, sep STRING) "

@@ -48,31 +48,24 @@ def action_quality_profile(actions, columns, time_columns=()):
     """Per text column: rows, nulls, empties, digit-only values, values that do not parse.
 
     A column in ``time_columns`` is tested as a time, any other as a number. One pass over the
-    table; each input partition sends one row per column to the shuffle.
+    table; each input partition sends one row to the shuffle.
     """
-    cells = actions.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "c"
-    )
-    parses = F.when(
-        F.col("column_name").isin(list(time_columns)), times.parse_time("c").isNotNull()
-    ).otherwise(text.to_long("c").isNotNull())
-    tested = cells.select(
-        "column_name",
-        "c",
-        text.is_empty("c").alias("_empty"),
-        text.is_numeric("c").alias("_numeric"),
-        parses.alias("_parses"),
-        F.coalesce(text.trim_comma("c") != F.col("c"), F.lit(False)).alias("_edge"),
-    )
-    return tested.groupBy("column_name").agg(
-        F.count("*").alias("row_count"),
-        F.count_if(F.col("c").isNull()).alias("null_count"),
-        F.count_if("_empty").alias("empty_count"),
-        F.count_if("_numeric").alias("numeric_count"),
-        F.count_if(~F.col("_empty") & ~F.col("_numeric")).alias("non_numeric_count"),
-        F.count_if(F.col("c").isNotNull() & ~F.col("_parses")).alias("unparsable_count"),
-        F.count_if("_edge").alias("comma_edge_count"),
-    )
+    def measures(name):
+        c = F.col(name).cast("string")
+        empty, numeric = text.is_empty(c), text.is_numeric(c)
+        parses = (times.parse_time(c) if name in time_columns else text.to_long(c)).isNotNull()
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.count("*").alias("row_count"),
+            F.count_if(c.isNull()).alias("null_count"),
+            F.count_if(empty).alias("empty_count"),
+            F.count_if(numeric).alias("numeric_count"),
+            F.count_if(~empty & ~numeric).alias("non_numeric_count"),
+            F.count_if(c.isNotNull() & ~parses).alias("unparsable_count"),
+            F.count_if(F.coalesce(text.trim_comma(c) != c, F.lit(False))).alias("comma_edge_count"),
+        )
+
+    return actions.agg(F.array(*[measures(c) for c in columns]).alias("_all")).select(F.inline("_all"))
 
 
 SESSION_FIELDS = {

@@ -26,4 +26,6 @@ def sample_exact(df, keys, n, seed=0, digest="xxhash64"):
     else:
         draw = F.xxhash64(F.lit(seed), *keys)
     others = [c for c in df.columns if c not in keys]
-    return df.orderBy(draw, *keys, *others).limit(n)
+    # A column of its own: an expression in the sort order would be evaluated at every comparison.
+    drawn = df.withColumn("_draw", draw).orderBy("_draw", *keys, *others).limit(n)
+    return drawn.drop("_draw")

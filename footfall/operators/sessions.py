@@ -118,11 +118,11 @@ def _overlaps(column, values, element):
     return F.coalesce(F.arrays_overlap(F.col(column), wanted), F.lit(False))
 
 
-def session_length_counts(sessions, visit_buckets=None, step_buckets=None):
-    """Session count and the number of sessions per visit- and step-length bucket, in one row."""
+def length_metrics(visit_buckets=None, step_buckets=None):
+    """Aggregates of session count and sessions per visit- and step-length bucket, for ``agg`` or ``observe``."""
     visit_buckets = K.VISIT_LENGTH_BUCKETS if visit_buckets is None else visit_buckets
     step_buckets = K.STEP_LENGTH_BUCKETS if step_buckets is None else step_buckets
-    return sessions.agg(
+    return [
         F.count("*").alias("session_count"),
         *[
             F.count_if(labels.in_bucket("visit_length", bounds)).alias(f"visit_length_{name}")
@@ -132,7 +132,18 @@ def session_length_counts(sessions, visit_buckets=None, step_buckets=None):
             F.count_if(labels.in_bucket("step_length", bounds)).alias(f"step_length_{name}")
             for name, bounds in step_buckets.items()
         ],
-    )
+    ]
+
+
+def session_length_counts(sessions, visit_buckets=None, step_buckets=None):
+    """Session count and the number of sessions per visit- and step-length bucket, in one row."""
+    return sessions.agg(*length_metrics(visit_buckets, step_buckets))
+
+
+def observed_length_counts(spark, observation):
+    """The row of ``session_length_counts`` as an ``observe`` of ``length_metrics`` has counted it on the side."""
+    counted = observation.get
+    return spark.createDataFrame([tuple(counted.values())], ", ".join(f"{name} long" for name in counted))
 
 
 def session_length_ratios(counts):

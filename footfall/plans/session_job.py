@@ -1,5 +1,6 @@
 """Session analysis of one task: length statistics, sampled actions, top categories."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from footfall import constants as K
@@ -25,16 +26,19 @@ def session_report(
 ):
     """The task's three result frames by table name.
 
-    The filtered sessions feed two of them, so they are stored once, reduced to three columns.
+    The filtered sessions are stored once, as ids for the category counts; their lengths are counted on the
+    side while they are written, so they are not read again for the shares.
     """
     in_range = scan_actions(actions, params.start_date, params.end_date)
+    lengths = Observation("session_lengths")
     chosen = filtered_sessions(actions, users, params).select("session_id", "visit_length", "step_length")
-    chosen = stage_table(chosen, "filtered-sessions")
+    chosen = stage_table(chosen.observe(lengths, *S.length_metrics()).select("session_id"), "filtered-sessions")
+    shares = S.session_length_ratios(S.observed_length_counts(actions.sparkSession, lengths))
     categories = S.top_categories(S.category_counts(S.visited_in_sessions(in_range, chosen)))
     sampled = S.sample_actions(in_range, sample, seed, sample_keys, digest)
     sampled = sampled.withColumn("action_time", format_time("action_time"))
     return {
-        "session_aggr_stat": _for_task(S.session_length_stats(chosen), task_id, schemas.SESSION_AGGR_STAT),
+        "session_aggr_stat": _for_task(shares, task_id, schemas.SESSION_AGGR_STAT),
         "session_detail": _for_task(sampled, task_id, schemas.SESSION_DETAIL),
         "top10_category": _for_task(categories, task_id, schemas.TOP10_CATEGORY),
     }

@@ -7,6 +7,7 @@ sent again, or died while folders were being replaced, puts those same rows in p
 anew, so increments are added once. One writer at a time per table; numbers must not go back.
 """
 
+import hashlib
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -25,6 +26,19 @@ def append_table(df, path, schema=None, partition_by=None):
     writer.parquet(path)
 
 
+def store_bucketed(df, path, key, buckets, name=None):
+    """Store ``df`` in buckets of ``key``, sorted by it, and return the stored table.
+
+    Grouping the table by ``key`` or joining it on ``key`` needs no shuffle of its rows: the other side of a join is
+    dealt into the same buckets. ``buckets`` should not lie below ``spark.sql.shuffle.partitions``, or Spark may
+    rather shuffle both sides. The table is known to the catalog as ``name``, by default one made of the path.
+    """
+    name = name or "bucketed_" + hashlib.md5(path.encode()).hexdigest()
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path)
+    writer.format("parquet").mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def read_table(spark, path, schema):
     """The stored rows; none if nothing was written yet."""
     return _stored(spark, path, schema).select(*schema.names)

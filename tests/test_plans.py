@@ -1,10 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from footfall.checks import settings as P
 from footfall.checks.queries import QUERIES
-from footfall.operators import ads
+from footfall.operators import ads, sessions
 from footfall.operators.sessions import session_facts, top_categories
 from footfall.params import TaskParams
+from footfall.plans.session_job import filtered_sessions, session_report
+from footfall.sinks.tables import store_bucketed
+from footfall.sources.event_tables import EventTables
 from footfall.sources.tables import scan_actions, scan_clicks
 from footfall.workdir import new_dir, stage_table, work_root
 from footfall import schemas
@@ -102,3 +106,36 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert new_dir(spark, "x") != new_dir(spark, "x")
     staged = stage_table(spark.range(3), "three")
     assert staged.count() == 3 and "FileScan" in plan_of(staged)
+
+
+def test_lengths_are_counted_while_sessions_are_written(spark, sessions_input):
+    """The shares come from metrics on the side: their frame scans nothing."""
+    actions, users = sessions_input
+    report = session_report(actions, users, P.AGE, 7)
+    plan = plan_of(report["session_aggr_stat"])
+    assert "Scan parquet" not in plan and "HashAggregate" not in plan
+    got = report["session_aggr_stat"].drop("task_id").collect()
+    assert got == sessions.session_length_stats(filtered_sessions(actions, users, P.AGE)).collect()
+
+
+def test_stored_buckets_save_the_shuffle_of_the_log(spark, sessions_input, folder):
+    actions, _ = sessions_input
+    stored = store_bucketed(actions, f"{folder}/actions", "session_id", 16)
+    chosen = spark.read.schema("session_id string").parquet(_ids(spark, folder))
+    joined = sessions.session_actions(stored, chosen.hint("merge"))
+    plan = plan_of(joined)
+    assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 16 out of 16" in plan
+    assert sorted(joined.collect(), key=repr) == sorted(sessions.session_actions(actions, chosen).collect(), key=repr)
+    shuffles = lambda frame: plan_of(sessions.session_rollup(frame)).count("hashpartitioning(session_id")
+    assert shuffles(stored) < shuffles(actions)
+
+
+def _ids(spark, folder):
+    spark.createDataFrame([(f"{u}_2024-01-01",) for u in range(20)], "session_id string").write.parquet(f"{folder}/ids")
+    return f"{folder}/ids"
+
+
+@pytest.fixture
+def sessions_input(spark):
+    t = EventTables(spark, "/root/testdata/sf0.001")
+    return t.actions, t.users
