@@ -22,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from footfall.llm.common import mix, stage, word_hashes
+from footfall.llm.common import mix, shuffle_partitions, stage, word_hashes
 
 #: Text of one block, distinct entries of one shard.
 BLOCK_BYTES, SHARD_ENTRIES = 4 << 20, 2_000_000
+#: Blocks scored by one task.
+BLOCKS_A_TASK = 2
 #: Context buckets: unseen, then 1, 2-3, 4-7, ... up to this many.
 BUCKETS = 20
 END_HASH = np.uint64(0x5DEECE66D2545F49)
@@ -220,12 +222,18 @@ def learn_weights(cells, total, distinct, iterations=30):
     return weights
 
 
+def _rows(batch):
+    """The rows of a batch one at a time: each holds a block and its answers."""
+    for n in range(batch.num_rows):
+        yield batch.slice(n, 1).to_pylist()[0]
+
+
 def _cells(totals):
     """The deleted part's tokens of a block, counted by (bucket, pair, context, word) without that part."""
 
     def of_batches(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 words, word_at, grams, gram_at, doc, first = _entries(row["ids"], row["lengths"], row["data"])
                 wt, wg, gt, gg = _answers_of(row["answers"])
                 w, g = wt - wg, gt - gg
@@ -253,7 +261,7 @@ def _scores(totals, weights):
 
     def of_batches(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 words, word_at, grams, gram_at, doc, first = _entries(row["ids"], row["lengths"], row["data"])
                 w, _, g, _ = _answers_of(row["answers"])
                 c, n = w[word_at], len(row["ids"])
@@ -287,7 +295,7 @@ def score(docs, id_col="doc_id", text_col="text"):
     """One row per document with its base score and its score under the model."""
     picked = docs.select(F.col(id_col).cast("long"), F.col(text_col))
     blocks = stage(picked.mapInArrow(_pack, "block bigint, ids array<bigint>, lengths binary, data binary"), "blocks")
-    facts = blocks.agg(F.sum(F.length("data")).alias("bytes"), F.sum(F.size("ids")).alias("docs")).first()
+    facts = blocks.agg(F.sum(F.length("data")).alias("bytes"), F.sum(F.size("ids")).alias("docs"), F.count("*").alias("blocks")).first()
     if not facts.docs:
         return docs.sparkSession.createDataFrame([], SCORE_SCHEMA)
     # Compressed text has about one distinct bigram per four bytes in a block.
@@ -295,8 +303,10 @@ def score(docs, id_col="doc_id", text_col="text"):
     asked = blocks.mapInArrow(_ask(shards), ASK_SCHEMA)
     answers = stage(asked.groupBy("kind", "shard").applyInArrow(_add_up, ANSWER_SCHEMA), "answers")
     totals = _totals(answers, docs, id_col)
-    listed = answers.groupBy("block").agg(F.collect_list(F.struct("kind", "shard", "train", "gone")).alias("answers"))
-    joined = blocks.join(listed, "block")
+    # As many tasks as hold BLOCKS_A_TASK blocks each, however large the corpus: one partitioning serves both sides.
+    tasks = max(shuffle_partitions(docs.sparkSession), -(-facts.blocks // BLOCKS_A_TASK))
+    listed = answers.repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct("kind", "shard", "train", "gone")).alias("answers"))
+    joined = blocks.repartition(tasks, "block").join(listed.hint("merge"), "block")
     weights = learn_weights(
         joined.mapInArrow(_cells(totals), "bucket int, pair bigint, context bigint, word bigint, n bigint")
         .groupBy("bucket", "pair", "context", "word").agg(F.sum("n").alias("n")),

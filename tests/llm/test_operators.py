@@ -477,3 +477,50 @@ def test_counts_beyond_32_bits():
     answers = lm._add_up(pa.Table.from_pylist(rows)).to_pylist()
     assert [x.tolist() for x in lm._answers_of(answers[:1])[:2]] == [[6_000_000_000]] * 2
     assert sum(a["total"] for a in answers) == 6_000_000_000
+
+
+def test_language_model_scores_equal_brute_force(spark):
+    """Counts, EM on the deleted part and scores in plain Python."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices(WORDS[:40], weights=range(1, 41), k=rng.randrange(0, 30)))) for i in range(120)]
+    rows += [(None, "w1 w2"), (7, None), (7, "never W39 seen")]
+    rest = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10
+    said = [(rest(i), [*(t or "").lower().split(), "</s>"]) for i, t in rows]
+    pairs = lambda words: list(zip(["</s>", *words], words))
+
+    def counted(keep):
+        word, pair = Counter(), Counter()
+        for r, words in said:
+            if keep(r):
+                word.update(words)
+                pair.update(pairs(words))
+        return word, pair
+
+    word, pair = counted(lambda r: r != 0)
+    kept_word, kept_pair = counted(lambda r: r > 1)
+    total, kept_total, distinct = word.total(), kept_word.total(), len(word)
+    bucket = lambda c: 0 if c <= 0 else min(c.bit_length(), lm.BUCKETS - 1)
+
+    def shares(w, p, n, a, b):
+        return p[a, b] / w[a] if w[a] else 0.0, w[b] / max(n, 1), (w[b] + lm.ALPHA) / (n + lm.ALPHA * (distinct + 1))
+
+    weights = np.tile([0.4, 0.4, 0.2], (lm.BUCKETS, 1))
+    cells = [(bucket(kept_word[a]), shares(kept_word, kept_pair, kept_total, a, b)) for r, ws in said if r == 1 for a, b in pairs(ws)]
+    for _ in range(30):
+        sums = {}
+        for k, p in cells:
+            parts = weights[k] * np.array(p)
+            sums[k] = sums.get(k, 0) + parts / parts.sum()
+        new = weights.copy()
+        for k, got in sums.items():
+            new[k] = (got + 1e-3) / (got + 1e-3).sum()
+        moved, weights = np.abs(new - weights).max(), new
+        if moved < 1e-3:
+            break
+    want = sorted(
+        (repr(i), len(ws), sum(np.log10(weights[bucket(word[a])] @ np.array(shares(word, pair, total, a, b))) for a, b in pairs(ws)))
+        for (i, _), (_, ws) in zip(rows, said)
+    )
+    got = sorted((repr(r.doc_id), r.n_tokens, r.score) for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want], rtol=1e-6)
