@@ -5,8 +5,10 @@ source's repetition rate (target size / size). The draw inverts the distribution
 number hashed from (seed, doc_id), so it is the same in every run and on every partition, and needs
 no state. The copies are then dealt out and ordered by a second hash, which shuffles globally.
 
-Nulls: a null source is a source of its own, a null text has size 0, a null doc_id is hashed as the
-empty string. Rows with the same doc_id share one draw. A source of total size 0 gets rate 1.
+Rows whose doc_id is null or stands on several rows draw apart: their number is hashed from the id, the
+whole row and its place among the rows equal to it in all columns, so it is as reproducible.
+
+Nulls: a null source is a source of its own, a null text has size 0. A source of total size 0 gets rate 1.
 Targets that name no source of the table are ignored. An empty table gives no rows.
 """
 
@@ -69,20 +71,49 @@ def repetition_rates(docs, source_col="source", text_col="text", targets=None, t
     )
 
 
+#: Equal rows that one task numbers together.
+EQUAL_ROWS = 1000
+
+
+def with_draws(docs, id_col, seed, draw, equal_rows=EQUAL_ROWS):
+    """``docs`` with a uniform number per row in ``draw``.
+
+    Equal rows are counted, never sorted or gathered: the counted row goes out once per block of
+    ``equal_rows``, and the blocks are numbered wherever the shuffle takes them.
+    """
+    names = docs.columns
+    n, block, place, row, shared = (fresh(x) for x in ("n", "block", "place", "row", "shared"))
+    ids = docs.groupBy(F.col(id_col).alias(shared)).agg(F.count("*").alias(n))
+    ids = stage(ids.filter((F.col(n) > 1) | F.col(shared).isNull()).select(shared), "shared-ids")
+    is_shared = docs[id_col].eqNullSafe(ids[shared])
+    single = docs.join(ids, is_shared, "left_anti").withColumn(draw, hashed_uniform(seed, F.col(id_col)))
+    counted = docs.join(ids, is_shared, "left_semi").groupBy(*names).agg(F.count("*").alias(n))
+    blocks = counted.withColumn(row, F.xxhash64(*names)).withColumn(
+        block, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / equal_rows)))
+    )
+    blocks = blocks.repartition(shuffle_partitions(docs.sparkSession), F.xxhash64(row, block))
+    begin = F.col(block) * equal_rows
+    placed = blocks.withColumn(
+        place, F.explode(F.sequence(begin, F.least(begin + equal_rows, F.col(n)) - 1))
+    ).withColumn(draw, hashed_uniform(seed, F.col(id_col), F.col(row), F.col(place)))
+    return single.select(*names, draw).union(placed.select(*names, draw))
+
+
 def poisson_mix(docs, source_col="source", text_col="text", id_col="doc_id", targets=None, temperature=0.7, seed=1):
     """``docs`` with every row repeated by its draw, and a ``copy`` number from 0, in hashed order."""
     spark = docs.sparkSession
-    source, rate, count, copy, key = (fresh(n) for n in ("source", "rate", "count", "copy", "key"))
+    source, rate, count, copy, key, draw = (fresh(n) for n in ("source", "rate", "count", "copy", "key", "draw"))
     # Rates are staged: one row per source, joined by whatever strategy their size allows.
     rates = stage(repetition_rates(docs, source_col, text_col, targets, temperature), "rates")
     rates = rates.select(F.col("source").alias(source), F.col("rate").alias(rate))
-    counted = docs.join(rates, docs[source_col].eqNullSafe(F.col(source)), "left").withColumn(
-        count, inverse_poisson(hashed_uniform(seed, F.col(id_col)), F.col(rate))
+    drawn = with_draws(docs, id_col, seed, draw)
+    counted = drawn.join(rates, drawn[source_col].eqNullSafe(F.col(source)), "left").withColumn(
+        count, inverse_poisson(F.col(draw), F.col(rate))
     )
     copies = counted.filter(F.col(count) > 0).withColumn(
         copy, F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     )
-    key_of = F.xxhash64(F.lit(seed), F.col(id_col), F.col(copy))
+    key_of = F.xxhash64(F.lit(seed), F.col(id_col), F.col(draw), F.col(copy))
     out = copies.withColumn(key, key_of).repartition(shuffle_partitions(spark), key).sortWithinPartitions(key)
-    out = out.drop(source, rate, count, key)
+    out = out.drop(source, rate, count, key, draw)
     return out.withColumnRenamed(copy, "copy") if "copy" not in docs.columns else out.drop(copy)

@@ -124,6 +124,26 @@ def test_poisson_draws(spark, docs):
     assert mixing.poisson_mix(docs, targets=targets).filter("source IS NULL AND text <> ''").isEmpty()
 
 
+@pytest.mark.parametrize("equal_rows", [3, mixing.EQUAL_ROWS])
+def test_rows_that_share_an_id_draw_apart(spark, equal_rows):
+    rows = [(None, "same", "en", "a", 4, 1, "r")] * 1500 + [(None, f"t{i}", "en", "b", 4, 1, "r") for i in range(500)]
+    rows += [(7, "seven", "en", "a", 4, 1, "r")] * 10 + [(i, "once", "en", "a", 4, 1, "r") for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    draws = lambda d: mixing.with_draws(d, "doc_id", 1, "u", equal_rows)
+    drawn = draws(docs).collect()
+    assert sorted((r[:-1] for r in drawn), key=repr) == sorted((tuple(r) for r in docs.collect()), key=repr)
+    assert sorted(map(tuple, drawn), key=repr) == as_set(draws(docs.repartition(2)), *docs.columns, "u")
+    assert len({r.u for r in drawn}) == len(drawn)
+    for r in drawn:
+        if r.doc_id is not None and r.doc_id >= 100:
+            assert r.u == int(hashlib.md5(f"1|{r.doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+    mixed = mixing.poisson_mix(docs)
+    parts = mixed.filter("doc_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    copies = {r.text: r["count"] for r in mixed.groupBy("text").count().collect()}
+    assert 1000 < copies["same"] < 2000 and 100 < sum(1 for i in range(500) if copies.get(f"t{i}", 0) != 1) < 500
+
+
 def brute_print(text):
     words = data(text).lower().split()
     if not words:
