@@ -118,18 +118,36 @@ def _overlaps(column, values, element):
     return F.coalesce(F.arrays_overlap(F.col(column), wanted), F.lit(False))
 
 
-def length_metrics(visit_buckets=None, step_buckets=None):
-    """Aggregates of session count and sessions per visit- and step-length bucket, for ``agg`` or ``observe``."""
+def mark_sessions(sessions, params, one_sided=False):
+    """``sessions`` with ``chosen``: 1 for those that pass every active filter, else 0.
+
+    A stored list that is filtered by its mark tells the optimizer that it is selective, so that a join
+    with the log may send a runtime Bloom filter of its keys to the scan; a list of chosen rows only does not.
+    """
+    passes = session_predicate(params, sessions.columns, one_sided)
+    return sessions.withColumn("chosen", F.when(passes, 1).otherwise(0))
+
+
+def chosen_sessions(marked):
+    return marked.filter(F.col("chosen") == 1)
+
+
+def length_metrics(visit_buckets=None, step_buckets=None, where=None):
+    """Aggregates of session count and sessions per visit- and step-length bucket, for ``agg`` or ``observe``.
+
+    ``where``: count only the sessions for which it holds.
+    """
+    where = F.lit(True) if where is None else where
     visit_buckets = K.VISIT_LENGTH_BUCKETS if visit_buckets is None else visit_buckets
     step_buckets = K.STEP_LENGTH_BUCKETS if step_buckets is None else step_buckets
     return [
-        F.count("*").alias("session_count"),
+        F.count_if(where).alias("session_count"),
         *[
-            F.count_if(labels.in_bucket("visit_length", bounds)).alias(f"visit_length_{name}")
+            F.count_if(where & labels.in_bucket("visit_length", bounds)).alias(f"visit_length_{name}")
             for name, bounds in visit_buckets.items()
         ],
         *[
-            F.count_if(labels.in_bucket("step_length", bounds)).alias(f"step_length_{name}")
+            F.count_if(where & labels.in_bucket("step_length", bounds)).alias(f"step_length_{name}")
             for name, bounds in step_buckets.items()
         ],
     ]

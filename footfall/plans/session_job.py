@@ -11,10 +11,15 @@ from footfall.sources.tables import scan_actions
 from footfall.workdir import stage_table
 
 
+def profiled_sessions(actions, users, params):
+    """Sessions in the task's date range with their users' profiles and the flags the task's filters need."""
+    facts = S.session_facts(scan_actions(actions, params.start_date, params.end_date), params)
+    return S.enrich_sessions(facts, users)
+
+
 def filtered_sessions(actions, users, params, one_sided=False):
     """Sessions in the task's date range whose user and content pass its filters."""
-    facts = S.session_facts(scan_actions(actions, params.start_date, params.end_date), params)
-    return S.filter_sessions(S.enrich_sessions(facts, users), params, one_sided)
+    return S.filter_sessions(profiled_sessions(actions, users, params), params, one_sided)
 
 
 def _for_task(df, task_id, schema):
@@ -26,13 +31,15 @@ def session_report(
 ):
     """The task's three result frames by table name.
 
-    The filtered sessions are stored once, as ids for the category counts; their lengths are counted on the
-    side while they are written, so they are not read again for the shares.
+    The sessions are stored once, as ids with a mark for the category counts; the lengths of the marked ones are
+    counted on the side while they are written, so they are not read again for the shares. Where few are
+    marked, a Bloom filter of their ids keeps the other actions out of the join's shuffle.
     """
     in_range = scan_actions(actions, params.start_date, params.end_date)
     lengths = Observation("session_lengths")
-    chosen = filtered_sessions(actions, users, params).select("session_id", "visit_length", "step_length")
-    chosen = stage_table(chosen.observe(lengths, *S.length_metrics()).select("session_id"), "filtered-sessions")
+    marked = S.mark_sessions(profiled_sessions(actions, users, params), params)
+    counted = marked.observe(lengths, *S.length_metrics(where=F.col("chosen") == 1))
+    chosen = S.chosen_sessions(stage_table(counted.select("session_id", "chosen"), "marked-sessions"))
     shares = S.session_length_ratios(S.observed_length_counts(actions.sparkSession, lengths))
     categories = S.top_categories(S.category_counts(S.visited_in_sessions(in_range, chosen)))
     sampled = S.sample_actions(in_range, sample, seed, sample_keys, digest)

@@ -9,6 +9,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Grouping by session keeps collect_set buffers for many keys; spill to sorting later than the default 128.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # A runtime Bloom filter is built from lists far over the default 10 MB: its own size is bounded by maxNumBits (8 MB).
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -6,7 +6,7 @@ from footfall.checks.queries import QUERIES
 from footfall.operators import ads, sessions
 from footfall.operators.sessions import session_facts, top_categories
 from footfall.params import TaskParams
-from footfall.plans.session_job import filtered_sessions, session_report
+from footfall.plans.session_job import filtered_sessions, profiled_sessions, session_report
 from footfall.sinks.tables import store_bucketed
 from footfall.sources.event_tables import EventTables
 from footfall.sources.tables import scan_actions, scan_clicks
@@ -130,6 +130,58 @@ def test_stored_buckets_save_the_shuffle_of_the_log(spark, sessions_input, folde
     assert shuffles(stored) < shuffles(actions)
 
 
+def test_a_bloom_filter_of_the_chosen_sessions_reaches_the_log(spark, sessions_input, folder):
+    """Rows of other sessions are dropped before the shuffle, and the result stays the same."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    actions, users = sessions_input
+    actions.write.parquet(f"{folder}/log")
+    log = spark.read.schema(actions.schema).parquet(f"{folder}/log")
+    narrow = TaskParams(start_age=30, end_age=31)
+    sessions.mark_sessions(profiled_sessions(log, users, narrow), narrow).select("session_id", "chosen").write.parquet(
+        f"{folder}/marked"
+    )
+    marked = spark.read.schema("session_id string, chosen int").parquet(f"{folder}/marked")
+    chosen = sessions.chosen_sessions(marked)
+    want = sorted(sessions.session_actions(log, chosen).collect(), key=repr)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        sent = {}
+        for enabled in ("false", "true"):
+            spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", enabled)
+            joined = sessions.session_actions(log, chosen)
+            assert sorted(joined.collect(), key=repr) == want
+            assert ("might_contain" in plan_of(joined)) == (enabled == "true")
+            sent[enabled] = max(rows_shuffled(joined))
+        assert sent["false"] == log.count()
+        assert 0 < len(want) <= sent["true"] < sent["false"] / 4
+    finally:
+        spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "true")
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def rows_shuffled(df):
+    """Rows written by every shuffle of an executed frame."""
+    found, stack = [], [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            stack.append(node.plan())
+        elif name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
 def _ids(spark, folder):
     spark.createDataFrame([(f"{u}_2024-01-01",) for u in range(20)], "session_id string").write.parquet(f"{folder}/ids")
     return f"{folder}/ids"
