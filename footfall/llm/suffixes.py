@@ -56,12 +56,16 @@ def removal_report(docs, id_col="doc_id", text_col="text"):
     )
 
 
-def remove_repeats(docs, id_col="doc_id", text_col="text", chars_col="n_chars"):
+def remove_repeats(docs, id_col="doc_id", text_col="text", chars_col="n_chars", keep_first=False):
     """``docs`` without the repeated bytes; a character cut in the middle goes as a whole.
 
+    With ``keep_first`` a passage stays where it stands under the smallest doc_id: only bytes covered by a
+    200-byte string that also starts under a smaller one go. A null doc_id counts as larger than any other;
+    repeats within one document, and those that only rows of one id share, then stay.
+
     ``chars_col``, where the table has it, is counted anew. Texts without a repeat stay as they are.
     """
-    spans = repeated_spans(docs, BYTES, False, id_col, text_col)
+    spans = repeated_spans(docs, BYTES, keep_first, id_col, text_col)
     names = docs.columns
     at = names.index(text_col)
 

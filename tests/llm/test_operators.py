@@ -275,6 +275,32 @@ def test_suffix_dedup(docs, part_bytes):
     assert cleaned.columns == docs.columns and cleaned.count() == docs.count()
 
 
+def test_first_occurrences_stay_where_asked(spark, docs, part_bytes):
+    rows = [tuple(r) for r in docs.collect()]
+    rows += [(None, r[1], *r[2:]) for r in rows[-6:]] + [(None, "z" * 300, "en", "a", 300, 1, "r")] * 2
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    last = 1 << 63
+    place = lambda r: last if r[0] is None else r[0]
+    first = {}
+    for r in sorted(rows, key=place):
+        d = data(r[1])
+        for i in range(len(d) - 199):
+            first.setdefault(d[i : i + 200], place(r))
+
+    def brute(r):
+        d = data(r[1])
+        gone = bytearray(len(d))
+        for i in range(len(d) - 199):
+            if first[d[i : i + 200]] < place(r):
+                gone[i : i + 200] = b"\1" * 200
+        rest = bytes(b for b, g in zip(d, gone) if not g).decode("utf-8", "ignore")
+        return r[0], None if r[1] is None else rest
+
+    cleaned = suffixes.remove_repeats(frame, keep_first=True)
+    assert as_set(cleaned, "doc_id", "text") == sorted(map(brute, rows), key=repr)
+    assert sorted(len(r.text) for r in cleaned.collect() if r.text and set(r.text) == {"z"}) == [300, 300]
+
+
 def test_substring_dedup(docs, part_bytes):
     rows = docs.collect()
     first = {}
