@@ -21,8 +21,8 @@ def near_duplicates(spark, docs, sf_dir):
 
 
 def repeated_passages(spark, docs, sf_dir):
-    """Bytes covered by a 200-byte string that also starts elsewhere go; the documents stay."""
-    return suffixes.remove_repeats(docs)
+    """Bytes covered by a 200-byte string that also starts under a smaller doc_id go; the documents stay."""
+    return suffixes.remove_repeats(docs, keep_first=True)
 
 
 def target_weights(spark, docs, sf_dir):
