@@ -20,14 +20,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from footfall.llm.common import mix, shuffle_partitions, stage, word_hashes
 
 #: Text of one block, distinct entries of one shard.
 BLOCK_BYTES, SHARD_ENTRIES = 4 << 20, 2_000_000
-#: Blocks scored by one task.
-BLOCKS_A_TASK = 2
+#: Keys of a shard added up at once, blocks answered in one Arrow batch.
+ADDED_AT_ONCE, ANSWERS_AT_ONCE = 300_000, 64
+#: Blocks scored by one task; pairs of shard and kind added up by one.
+BLOCKS_A_TASK, SHARDS_A_TASK = 2, 2
 #: Context buckets: unseen, then 1, 2-3, 4-7, ... up to this many.
 BUCKETS = 20
 END_HASH = np.uint64(0x5DEECE66D2545F49)
@@ -146,26 +149,51 @@ ASK_SCHEMA = "shard int, kind int, block bigint, keys binary, train binary, gone
 ANSWER_SCHEMA = "shard int, kind int, block bigint, train binary, gone binary, total bigint, distinct bigint, gone_total bigint"
 
 
+def _column(table, name, kind):
+    """All values of a binary column in one array, without a copy where it is one chunk, and the size of each row in bytes."""
+    column = table.column(name)
+    column = column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+    sizes = pc.binary_length(column).to_numpy()
+    begin = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
+    return np.frombuffer(column.buffers()[2], kind, int(sizes.sum()) // kind().itemsize, begin), sizes
+
+
+def _binary(values, lengths):
+    """A binary column over one array of 64-bit values, ``lengths`` of them in each row; as long as the keys' column."""
+    offsets = np.concatenate([[0], np.cumsum(lengths * 8)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
 def _add_up(table):
-    """Counts of one kind and shard over all blocks, returned to each block in its order."""
-    keys = [np.frombuffer(k.as_py(), np.uint64) for k in table.column("keys")]
-    sizes = [len(k) for k in keys]
-    joint, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = []
-    for name in ("train", "gone"):
-        counts = np.concatenate([np.frombuffer(c.as_py(), np.uint32) for c in table.column(name)])
-        sums.append(np.bincount(at, weights=counts, minlength=len(joint)).astype(np.int64))
-    cut = np.cumsum([0, *sizes])
-    back = [[s[at[a:b]].tobytes() for a, b in zip(cut, cut[1:])] for s in sums]
+    """Counts of one kind and shard over all blocks, returned to each block in its order.
+
+    The shard's keys are added up by ranges of ``ADDED_AT_ONCE``, so that beside the rows themselves little is held.
+    """
+    keys, sizes = _column(table, "keys", np.uint64)
+    counts = [_column(table, name, np.uint32)[0] for name in ("train", "gone")]
+    sums, totals, distinct = [np.empty(len(keys), np.int64) for _ in counts], [0, 0], 0
+    low, ranges = keys.min(), -(-len(keys) // ADDED_AT_ONCE)
+    width = np.maximum((keys.max() - low) // np.uint64(ranges), np.uint64(1))
+    of_range = np.minimum((keys - low) // width, np.uint64(ranges - 1)).astype(np.int32)
+    for number in range(ranges):
+        chosen = np.flatnonzero(of_range == number)
+        joint, at = np.unique(keys[chosen], return_inverse=True)
+        for j, count in enumerate(counts):
+            # Exact: a double holds whole numbers up to 2^53.
+            added = np.bincount(at, weights=count[chosen], minlength=len(joint)).astype(np.int64)
+            sums[j][chosen] = added[at]
+            totals[j] += int(added.sum())
+            if j == 0:
+                distinct += int(np.count_nonzero(added))
     n = len(sizes)
     # Totals stand on one answer of every shard.
-    once = lambda x: [int(x)] + [0] * (n - 1)
-    return pa.table({
+    once = lambda x: [x] + [0] * (n - 1)
+    out = pa.table({
         "shard": table.column("shard"), "kind": table.column("kind"), "block": table.column("block"),
-        "train": pa.array(back[0], pa.binary()), "gone": pa.array(back[1], pa.binary()),
-        "total": once(sums[0].sum(dtype=np.int64)), "distinct": once(np.count_nonzero(sums[0])),
-        "gone_total": once(sums[1].sum(dtype=np.int64)),
+        "train": _binary(sums[0], sizes // 8), "gone": _binary(sums[1], sizes // 8),
+        "total": once(totals[0]), "distinct": once(distinct), "gone_total": once(totals[1]),
     })
+    return pa.Table.from_batches(out.to_batches(max_chunksize=ANSWERS_AT_ONCE))
 
 
 def _answers_of(answers):
@@ -300,7 +328,9 @@ def score(docs, id_col="doc_id", text_col="text"):
         return docs.sparkSession.createDataFrame([], SCORE_SCHEMA)
     # Compressed text has about one distinct bigram per four bytes in a block.
     shards = 1 << max(0, (facts.bytes // 4 // SHARD_ENTRIES).bit_length() + 2)
-    asked = blocks.mapInArrow(_ask(shards), ASK_SCHEMA)
+    # As many tasks as the shards need, however large the corpus.
+    adders = max(shuffle_partitions(docs.sparkSession), 2 * shards // SHARDS_A_TASK)
+    asked = blocks.mapInArrow(_ask(shards), ASK_SCHEMA).repartition(adders, "kind", "shard")
     answers = stage(asked.groupBy("kind", "shard").applyInArrow(_add_up, ANSWER_SCHEMA), "answers")
     totals = _totals(answers, docs, id_col)
     # As many tasks as hold BLOCKS_A_TASK blocks each, however large the corpus: one partitioning serves both sides.

@@ -525,6 +525,36 @@ def test_counts_beyond_32_bits():
     assert sum(a["total"] for a in answers) == 6_000_000_000
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 1000])
+def test_a_shard_is_added_up_by_ranges_of_keys(monkeypatch, at_once):
+    monkeypatch.setattr(lm, "ADDED_AT_ONCE", at_once)
+    monkeypatch.setattr(lm, "ANSWERS_AT_ONCE", 3)
+    rng, rows = np.random.default_rng(5), []
+    pool = np.concatenate([rng.integers(0, 1 << 63, 60, dtype=np.uint64) * np.uint64(2), np.array([0, 2**64 - 1], np.uint64)])
+    for block in range(8):
+        keys = np.unique(rng.choice(pool, 20))
+        counts = [rng.integers(0, 5, len(keys)).astype(np.uint32) for _ in range(2)]
+        rows.append({"shard": 1, "kind": 2, "block": block, "keys": keys.tobytes(), "train": counts[0].tobytes(), "gone": counts[1].tobytes()})
+    # As Spark hands it over: in several batches, some of them cut out of longer ones.
+    whole = pa.Table.from_pylist(rows)
+    table = pa.concat_tables([whole.slice(0, 3), whole.slice(3, 5)])
+    for given in (table, whole.slice(2, 6), whole):
+        wanted = rows[2:] if given.num_rows == 6 else rows
+        counts = [Counter(), Counter()]
+        for r in wanted:
+            for c, name in zip(counts, ("train", "gone")):
+                for k, n in zip(np.frombuffer(r["keys"], np.uint64).tolist(), np.frombuffer(r[name], np.uint32).tolist()):
+                    c[k] += n
+        answers = lm._add_up(given).to_pylist()
+        assert [a["block"] for a in answers] == [r["block"] for r in wanted]
+        for answer, r in zip(answers, wanted):
+            keys = np.frombuffer(r["keys"], np.uint64).tolist()
+            for c, name in zip(counts, ("train", "gone")):
+                assert np.frombuffer(answer[name], np.int64).tolist() == [c[k] for k in keys]
+        assert sum(a["total"] for a in answers) == counts[0].total() and sum(a["gone_total"] for a in answers) == counts[1].total()
+        assert sum(a["distinct"] for a in answers) == sum(n > 0 for n in counts[0].values())
+
+
 def test_language_model_scores_equal_brute_force(spark):
     """Counts, EM on the deleted part and scores in plain Python."""
     rng = random.Random(12)
