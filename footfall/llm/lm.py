@@ -9,7 +9,8 @@ Counts need every token of the corpus but not one row per token. Documents are p
 a few megabytes, compressed and staged. A block's distinct words and bigrams are hashed, sorted and
 cut into shards by the leading bits of the hash; a shard adds up the counts of all blocks and answers
 each block in the order it asked. A block then scores its documents from the answers. Frequent
-words cost one entry per block, and the number of shards grows with the corpus.
+words cost one entry per block, and the number of shards grows with the corpus. The deleted tenth has blocks of
+its own, so that learning the weights reads no others.
 
 Every text ends with an end token. Nulls are empty texts, the end alone. Null ids count as the id
 "" in the split. Repeated rows are counted and scored as often as they occur. An empty table gives no
@@ -49,36 +50,45 @@ def deleted_part(doc_id):
 
 
 def _pack(batches):
-    """Rows (block, ids, lengths, data): documents packed up to ``BLOCK_BYTES`` of lower-cased text."""
+    """Rows (block, deleted, ids, lengths, data): documents packed up to ``BLOCK_BYTES`` of lower-cased text.
+
+    Documents of the deleted part have blocks of their own.
+    """
     import pyspark
 
     part, number = pyspark.TaskContext.get().partitionId(), 0
-    ids, texts, size = [], [], 0
+    open_ = {False: ([], []), True: ([], [])}
+    size = {False: 0, True: 0}
 
-    def block():
+    def block(deleted):
+        ids, texts = open_[deleted]
         data = b"".join(texts)
         lengths = np.array([len(t) for t in texts], np.int64)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([(part << 32) + number], pa.int64()),
+                pa.array([deleted]),
                 pa.array([ids], pa.list_(pa.int64())),
                 pa.array([lengths.tobytes()], pa.binary()),
                 pa.array([pa.compress(data, "zstd", asbytes=True) if data else b""], pa.binary()),
             ],
-            names=["block", "ids", "lengths", "data"],
+            names=["block", "deleted", "ids", "lengths", "data"],
         )
 
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
-            ids.append(doc)
-            texts.append(data)
-            size += len(data)
-            if size >= BLOCK_BYTES:
-                yield block()
-                ids, texts, size, number = [], [], 0, number + 1
-    if ids:
-        yield block()
+            deleted = deleted_part(doc)
+            open_[deleted][0].append(doc)
+            open_[deleted][1].append(data)
+            size[deleted] += len(data)
+            if size[deleted] >= BLOCK_BYTES:
+                yield block(deleted)
+                open_[deleted], size[deleted], number = ([], []), 0, number + 1
+    for deleted, (ids, _) in open_.items():
+        if ids:
+            yield block(deleted)
+            number += 1
 
 
 def _tokens(ids, lengths, data):
@@ -125,10 +135,10 @@ def _ask(shards):
     def of_batches(batches):
         for batch in batches:
             for n in range(batch.num_rows):
-                block, ids, lengths, data = (c[n].as_py() for c in batch.columns)
+                block, deleted, ids, lengths, data = (c[n].as_py() for c in batch.columns)
                 words, word_at, grams, gram_at, doc, _ = _entries(ids, lengths, data)
                 train = np.array([not held_out(i) for i in ids])[doc]
-                gone = np.array([deleted_part(i) for i in ids])[doc]
+                gone = np.full(len(doc), deleted)
                 out = []
                 for kind, keys, at in ((1, words, word_at), (2, grams, gram_at)):
                     counts = [_count(len(keys), at, w) for w in (train, gone)]
@@ -159,7 +169,7 @@ def _column(table, name, kind):
 
 
 def _binary(values, lengths):
-    """A binary column over one array of 64-bit values, ``lengths`` of them in each row; as long as the keys' column."""
+    """A binary column over one array of 64-bit values, ``lengths`` of them in each row; no longer than the keys' column."""
     offsets = np.concatenate([[0], np.cumsum(lengths * 8)]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
@@ -167,7 +177,7 @@ def _binary(values, lengths):
 def _add_up(table):
     """Counts of one kind and shard over all blocks, returned to each block in its order.
 
-    The shard's keys are added up by ranges of ``ADDED_AT_ONCE``, so that beside the rows themselves little is held.
+    Counts in the deleted part are returned to its own blocks only; others get an empty answer. The shard's keys are added up by ranges of ``ADDED_AT_ONCE``, so that beside the rows themselves little is held.
     """
     keys, sizes = _column(table, "keys", np.uint64)
     counts = [_column(table, name, np.uint32)[0] for name in ("train", "gone")]
@@ -185,24 +195,25 @@ def _add_up(table):
             totals[j] += int(added.sum())
             if j == 0:
                 distinct += int(np.count_nonzero(added))
-    n = len(sizes)
+    n, lengths = len(sizes), sizes // 8
+    within = np.maximum.reduceat(counts[1], np.cumsum(lengths) - lengths) > 0
     # Totals stand on one answer of every shard.
     once = lambda x: [x] + [0] * (n - 1)
     out = pa.table({
         "shard": table.column("shard"), "kind": table.column("kind"), "block": table.column("block"),
-        "train": _binary(sums[0], sizes // 8), "gone": _binary(sums[1], sizes // 8),
+        "train": _binary(sums[0], lengths), "gone": _binary(sums[1][np.repeat(within, lengths)], lengths * within),
         "total": once(totals[0]), "distinct": once(distinct), "gone_total": once(totals[1]),
     })
     return pa.Table.from_batches(out.to_batches(max_chunksize=ANSWERS_AT_ONCE))
 
 
 def _answers_of(answers):
-    """(word train, word gone, bigram train, bigram gone) in the order of the block's sorted keys."""
+    """Counts in the order of the block's sorted keys: those of words, then those of bigrams, by the columns given."""
     ordered = sorted(answers, key=lambda a: (a["kind"], a["shard"]))
     out = []
     for kind in (1, 2):
         for name in ("train", "gone"):
-            parts = [np.frombuffer(a[name], np.int64) for a in ordered if a["kind"] == kind]
+            parts = [np.frombuffer(a[name], np.int64) for a in ordered if a["kind"] == kind and name in a]
             out.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
     return out
 
@@ -257,7 +268,7 @@ def _rows(batch):
 
 
 def _cells(totals):
-    """The deleted part's tokens of a block, counted by (bucket, pair, context, word) without that part."""
+    """The tokens of a block of the deleted part, counted by (bucket, pair, context, word) without that part."""
 
     def of_batches(batches):
         for batch in batches:
@@ -266,8 +277,7 @@ def _cells(totals):
                 wt, wg, gt, gg = _answers_of(row["answers"])
                 w, g = wt - wg, gt - gg
                 context = _contexts(w, word_at, first, totals["kept_ends"])
-                use = np.array([deleted_part(i) for i in row["ids"]])[doc]
-                cell = np.stack([bucket(context)[use], g[gram_at][use], context[use], w[word_at][use]], axis=1)
+                cell = np.stack([bucket(context), g[gram_at], context, w[word_at]], axis=1)
                 cell, n = np.unique(cell, axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in (cell[:, 0].astype(np.int32), *cell[:, 1:].T, n)], names=["bucket", "pair", "context", "word", "n"]
@@ -322,9 +332,12 @@ SCORE_SCHEMA = (
 def score(docs, id_col="doc_id", text_col="text"):
     """One row per document with its base score and its score under the model."""
     picked = docs.select(F.col(id_col).cast("long"), F.col(text_col))
-    blocks = stage(picked.mapInArrow(_pack, "block bigint, ids array<bigint>, lengths binary, data binary"), "blocks")
-    facts = blocks.agg(F.sum(F.length("data")).alias("bytes"), F.sum(F.size("ids")).alias("docs"), F.count("*").alias("blocks")).first()
-    if not facts.docs:
+    packed = "block bigint, deleted boolean, ids array<bigint>, lengths binary, data binary"
+    blocks = stage(picked.mapInArrow(_pack, packed), "blocks")
+    facts = blocks.agg(
+        F.sum(F.length("data")).alias("bytes"), F.count("*").alias("blocks"), F.count_if("deleted").alias("deleted")
+    ).first()
+    if not facts.blocks:
         return docs.sparkSession.createDataFrame([], SCORE_SCHEMA)
     # Compressed text has about one distinct bigram per four bytes in a block.
     shards = 1 << max(0, (facts.bytes // 4 // SHARD_ENTRIES).bit_length() + 2)
@@ -333,17 +346,24 @@ def score(docs, id_col="doc_id", text_col="text"):
     asked = blocks.mapInArrow(_ask(shards), ASK_SCHEMA).repartition(adders, "kind", "shard")
     answers = stage(asked.groupBy("kind", "shard").applyInArrow(_add_up, ANSWER_SCHEMA), "answers")
     totals = _totals(answers, docs, id_col)
-    # As many tasks as hold BLOCKS_A_TASK blocks each, however large the corpus: one partitioning serves both sides.
-    tasks = max(shuffle_partitions(docs.sparkSession), -(-facts.blocks // BLOCKS_A_TASK))
-    listed = answers.repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct("kind", "shard", "train", "gone")).alias("answers"))
-    joined = blocks.repartition(tasks, "block").join(listed.hint("merge"), "block")
+    told = answers.filter(F.length("gone") > 0)
+    deleted = _with_answers(blocks.filter("deleted"), told, facts.deleted, "kind", "shard", "train", "gone")
     weights = learn_weights(
-        joined.mapInArrow(_cells(totals), "bucket int, pair bigint, context bigint, word bigint, n bigint")
+        deleted.mapInArrow(_cells(totals), "bucket int, pair bigint, context bigint, word bigint, n bigint")
         .groupBy("bucket", "pair", "context", "word").agg(F.sum("n").alias("n")),
         totals["total"] - totals["gone"],
         totals["distinct"],
     )
-    return joined.mapInArrow(_scores(totals, weights), SCORE_SCHEMA)
+    every = _with_answers(blocks, answers, facts.blocks, "kind", "shard", "train")
+    return every.mapInArrow(_scores(totals, weights), SCORE_SCHEMA)
+
+
+def _with_answers(blocks, answers, number, *fields):
+    """``blocks``, ``number`` of them, each with the list of its answers."""
+    # As many tasks as hold BLOCKS_A_TASK blocks each, however large the corpus: one partitioning serves both sides.
+    tasks = max(shuffle_partitions(blocks.sparkSession), -(-number // BLOCKS_A_TASK))
+    listed = answers.repartition(tasks, "block").groupBy("block").agg(F.collect_list(F.struct(*fields)).alias("answers"))
+    return blocks.repartition(tasks, "block").join(listed.hint("merge"), "block")
 
 
 def _totals(answers, docs, id_col):

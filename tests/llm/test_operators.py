@@ -523,6 +523,16 @@ def test_counts_beyond_32_bits():
     answers = lm._add_up(pa.Table.from_pylist(rows)).to_pylist()
     assert [x.tolist() for x in lm._answers_of(answers[:1])[:2]] == [[6_000_000_000]] * 2
     assert sum(a["total"] for a in answers) == 6_000_000_000
+    # A block outside the deleted part is not told what was seen there.
+    rows.append({**rows[0], "block": 2, "gone": np.zeros(1, np.uint32).tobytes()})
+    answers = lm._add_up(pa.Table.from_pylist(rows)).to_pylist()
+    assert [np.frombuffer(a["gone"], np.int64).tolist() for a in answers] == [[6_000_000_000]] * 2 + [[]]
+
+
+def test_language_model_without_a_deleted_part(spark):
+    ids = [i for i in range(40) if not lm.deleted_part(i)][:12]
+    got = lm.score(spark.createDataFrame([(i, "one two one two three") for i in ids], "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == ids and all(r.n_tokens == 6 and -20 < r.score < 0 for r in got)
 
 
 @pytest.mark.parametrize("at_once", [1, 7, 1000])
