@@ -425,6 +425,24 @@ ORACLE = {
     "sample_actions": _sql(
         _SAMPLE.format(columns="seq, " + _ACTION_COLUMNS, keys="CAST(seq AS VARCHAR)"), "user_visit_action"
     ),
+    "task_parameters": _sql(
+        "SELECT user_id AS task_id, user_id % 7 < 2 AS malformed, "
+        + ", ".join(
+            f"CASE WHEN user_id % 7 > 2 THEN {value} END AS {name}"
+            for name, value in {
+                "start_date": f"'{P.SOME_DAYS[0]}'",
+                "start_age": "CAST(age - 5 AS VARCHAR)",
+                "end_age": "CAST(age + 5 AS VARCHAR)",
+                "professionals": "professional || ',other'",
+                "cities": "city",
+                "sex": "CASE WHEN user_id % 3 <> 0 THEN sex END",
+                "category_ids": "CASE WHEN user_id % 2 = 0 THEN 'many' ELSE '1,2' END",
+            }.items()
+        )
+        + ", CAST(NULL AS VARCHAR) AS end_date, CAST(NULL AS VARCHAR) AS keywords, "
+        "CAST(NULL AS VARCHAR) AS target_page_flow FROM user_info",
+        "user_info",
+    ),
     "action_time_features": _sql(_features(), "user_visit_action"),
     "action_hourly_profile": _sql(
         "SELECT date_hour, count(*) AS actions, count(*) FILTER (out_of_order) AS out_of_order, "

@@ -8,6 +8,7 @@ from footfall.checks import settings as P
 from footfall.functions import labels, text
 from footfall.functions.times import format_time
 from footfall.operators import ads, journeys, products, profiles, sessions, sliding
+from footfall.params import task_parameters as parsed_parameters
 from footfall.plans.product_job import run_product_job
 from footfall.plans.session_job import filtered_sessions, run_session_job
 from footfall.sinks import tables as sinks
@@ -280,6 +281,26 @@ def decode_kv_table(t):
     return profiles.decode_kv(packed, "packed", profiles.SESSION_FIELDS)
 
 
+@query
+def task_parameters(t):
+    """One task per user, about people like them; some documents are cut off, no object, or missing."""
+    own = F.struct(
+        F.lit(P.SOME_DAYS[0]).alias("startDate"),
+        (F.col("age") - 5).alias("startAge"),
+        (F.col("age") + 5).cast("string").alias("endAge"),
+        F.concat("professional", F.lit(",,other")).alias("professionals"),
+        F.col("city").alias("cities"),
+        F.when(F.col("user_id") % 3 == 0, "").otherwise(F.col("sex")).alias("sex"),
+        F.when(F.col("user_id") % 2 == 0, "many").otherwise("1,2").alias("categoryIds"),
+    )
+    document = F.to_json(own)
+    kind = F.col("user_id") % 7
+    document = F.when(kind == 0, F.left(document, F.lit(30))).when(kind == 1, F.concat(F.lit("["), document, F.lit("]"))).when(kind != 2, document)
+    parsed = parsed_parameters(t.users.select(F.col("user_id").alias("task_id"), document.alias("task_param")))
+    ages = {name: F.col(name).cast("string") for name in ("start_age", "end_age")}
+    return _as_text(parsed.withColumns(ages))
+
+
 @query
 def edit_kv_table(t):
     packed = profiles.encode_sessions(sessions.session_rollup(t.actions))
