@@ -387,6 +387,7 @@ ORACLE = {
         "SELECT city_id, city_name, area, product_id FROM click JOIN city_info USING (city_id)", "click", "city_info"
     ),
     "product_status": _sql("SELECT product_id, product_status FROM product_info", "product_info"),
+    "product_status_sql": _sql("SELECT product_id, product_status FROM product_info", "product_info"),
     "area_level": _sql(f"SELECT city_id, area, {_LEVEL} FROM city_info", "city_info"),
     "area_product_clicks": _sql(_area_counts("click"), "click", "city_info"),
     "area_product_clicks_sql": _sql(_area_counts("click"), "click", "city_info"),

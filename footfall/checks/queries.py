@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from footfall import constants as K
 from footfall import schemas
 from footfall.checks import settings as P
 from footfall.functions import labels, text
@@ -78,6 +79,17 @@ def product_status(t):
     return t.products.select("product_id", labels.product_status("extend_info").alias("product_status"))
 
 
+@query
+def product_status_sql(t):
+    """Status of every product as SQL text, with the registered JSON function."""
+    text.register_sql_functions(t.spark)
+    return t.spark.sql(
+        "SELECT product_id, if(json_field(extend_info, 'product_status') <=> '0', :own, :third) AS product_status FROM {products}",
+        args={"own": K.SELF_OPERATED, "third": K.THIRD_PARTY},
+        products=t.products,
+    )
+
+
 @query
 def area_level(t):
     level = labels.area_level("area", P.AREA_LEVELS, P.OTHER_LEVEL)
