@@ -1,8 +1,12 @@
 import datetime
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -10,7 +14,7 @@ from footfall import schemas
 from footfall.operators import ads, sliding
 from footfall.sinks import tables
 from footfall.sources.ad_log import ad_log_stream, parse_ad_log
-from footfall.streaming import counters
+from footfall.streaming import counters, state
 from footfall.streaming.ad_stats import AdStatsStore, run_ad_stats, start_events
 from tests.test_ads import DAY, T0, line, micro_batches
 
@@ -222,3 +226,37 @@ def test_days_are_those_of_the_session_zone(spark, folder):
             counters._day_start(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ONE_FAMILY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+@pytest.fixture(params=[None, ONE_FAMILY])
+def default_store(spark, request):
+    """A session whose state store is Spark's default, unset or named."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, request.param) if request.param else spark.conf.unset(PROVIDER)
+    yield request.param
+    spark.conf.set(PROVIDER, before)
+
+
+def test_live_statistics_in_a_session_with_the_default_state_store(spark, folder, default_store):
+    live = Live(spark, folder, threshold=3)
+    live.send(*[line()] * 4, line(user=2), line(ad=2, user=3), events_only=True)
+    live.send(line(), line(user=2))
+    assert [r[0] for r in rows(live.store.blacklist())] == [1]
+    assert rows(live.store.user_counts()) == [("2024-01-01", 1, 1, 4), ("2024-01-01", 2, 1, 2), ("2024-01-01", 3, 2, 1)]
+    assert rows(live.store.city_counts()) == [("2024-01-01", "p", "c", 1, 6), ("2024-01-01", "p", "c", 2, 1)]
+    assert rows(live.store.province_top()) == [("2024-01-01", "p", 1, 6), ("2024-01-01", "p", 2, 1)]
+    assert rows(live.store.trend()) == [("2024-01-01", "00", "00", 1, 6), ("2024-01-01", "00", "00", 2, 1)]
+    assert spark.conf.get(PROVIDER, None) == default_store  # the session's own queries keep their store
+
+
+def test_processors_need_no_package_on_the_executors(folder):
+    """Workers that cannot import the package can still load what a query sends them."""
+    sent = cloudpickle.dumps([state.Blacklist(3), state.TopAds(3), state.MinuteCounts()])
+    load = "import pickle, sys; print(*[type(p).__name__ for p in pickle.load(sys.stdin.buffer)])"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", load], input=sent, cwd=folder, env=env, capture_output=True)
+    assert out.stdout.split() == [b"Blacklist", b"TopAds", b"MinuteCounts"], out.stderr.decode()
