@@ -260,3 +260,14 @@ def test_processors_need_no_package_on_the_executors(folder):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", load], input=sent, cwd=folder, env=env, capture_output=True)
     assert out.stdout.split() == [b"Blacklist", b"TopAds", b"MinuteCounts"], out.stderr.decode()
+
+
+def test_late_clicks_in_a_session_with_the_default_state_store(spark, folder, default_store):
+    for lines in ([line(T0 + 300 * MINUTE)], [line(T0 + 301 * MINUTE)], [line(T0 + 300 * MINUTE), line(T0 + 100 * MINUTE)]):
+        arrive(spark, f"{folder}/log", lines)
+        clicks = parse_ad_log(ad_log_stream(spark, "text", f"{folder}/log"))
+        counters.keep_minutes_and_late(clicks, f"{folder}/t", f"{folder}/late", f"{folder}/ck", available_now=True).awaitTermination()
+    counts, late = (rows(tables.read_table(spark, f"{folder}/{n}", schemas.AD_CLICK_TREND)) for n in ("t", "late"))
+    assert counts == [("2024-01-01", "05", "00", 1, 2), ("2024-01-01", "05", "01", 1, 1)]
+    assert late == [("2024-01-01", "01", "40", 1, 1)]
+    assert spark.conf.get(PROVIDER, None) == default_store
