@@ -7,7 +7,8 @@ minimizers, so only runs whose minimizer occurs elsewhere matter, and a run whos
 recurs stands for all its windows. Runs that share a minimizer but not their content are fetched,
 range-partitioned by the symbols from their minimizer on (sampled splitters), and their windows are
 sorted and compared inside each partition; the groups at a partition's two ends are compared across
-partitions by window digests. No step holds more than one partition's share of runs.
+partitions by window digests. No step holds more than one partition's share of runs, and of the windows
+of a key that many runs share it sorts and tells a slice at a time.
 
 Row identity is a hash of (doc_id, text), so repeated ids and repeated rows do not mix spans.
 """
@@ -19,10 +20,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from footfall.llm.common import BYTE_HASH, ngram_hash, shuffle_partitions, sliding_min, stage, word_hashes, word_spans
+from footfall.llm.common import (
+    BYTE_HASH, mix, ngram_hash, shuffle_partitions, sliding_min, stage, word_hashes, word_spans,
+)
 
-#: Bytes of run contents in one range partition, and windows sorted at once inside it.
-PART_BYTES, SORT_WINDOWS = 8 << 20, 50_000
+#: Bytes of run contents in one range partition, windows sorted at once inside it, and edge records settled at once.
+PART_BYTES, SORT_WINDOWS, SETTLE_EDGES = 8 << 20, 50_000, 100_000
+#: Odd factor of the hash that deals windows to slices.
+HASH_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of contents fetched, or of words hashed, at once.
+AT_ONCE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -47,6 +54,13 @@ class Units:
             return word_spans(data)
         return np.arange(len(data)), np.arange(1, len(data) + 1)
 
+    def cuts(self, data):
+        """A function from the symbols at which windows of ``data`` start to their byte offsets, (start, end) each."""
+        if not self.words:
+            return lambda first: zip(first.tolist(), (first + self.window).tolist())
+        start, end = word_spans(data)
+        return lambda first: zip(start[first].tolist(), end[first + self.window - 1].tolist())
+
 
 def identified(docs, id_col, text_col):
     """(row, doc_id, text); ids that are null sort behind all others."""
@@ -147,16 +161,109 @@ def equal_windows(digits, starts, step, depth, group):
     return label
 
 
-def _digits(units, blob):
-    """(digits, step, number of digits per window) for the contents joined in ``blob``."""
+def _digits(units, blobs, joint):
+    """(digits, step, number of digits per window) for the contents joined in ``joint``."""
     if units.words:
-        return word_hashes(blob), 1, units.window
-    a = np.frombuffer(blob + b"\0" * 8, np.uint8).astype(np.uint64)
-    eight = np.zeros(len(blob), np.uint64)
-    for i in range(8):
-        eight = (eight << np.uint64(8)) | a[i : i + len(blob)]
+        size = np.cumsum([len(b) for b in blobs])
+        some = np.split(np.arange(len(blobs)), np.flatnonzero(np.diff(size // AT_ONCE_BYTES)) + 1)
+        return np.concatenate([word_hashes(b" ".join(blobs[i[0] : i[-1] + 1])) for i in some]), 1, units.window
     assert units.window % 8 == 0
-    return eight, 8, units.window // 8
+    # Eight bytes from every byte on, seen in place. Written out they sort faster and take eight times the contents.
+    eight = np.ndarray(len(joint), ">u8", joint + b"\0" * 8, strides=(1,))
+    return eight.astype(np.uint64) if len(joint) <= PART_BYTES else eight, 8, units.window // 8
+
+
+def _run_chunks(begin, most):
+    """(first, stop) of runs with about ``most`` windows together; ``begin`` numbers their first windows."""
+    at = 0
+    while at < len(begin) - 1:
+        to = max(at + 1, int(np.searchsorted(begin, begin[at] + most, "right")) - 1)
+        yield at, to
+        at = to
+
+
+class _Windows:
+    """The windows of some whole groups of runs, numbered through; see ``match_windows``."""
+
+    def __init__(self, units, contents):
+        self.units, self.contents = units, contents
+        count = contents["windows"]
+        self.begin = np.concatenate([[0], np.cumsum(count)])
+        self.joint = (b" " if units.words else b"").join(contents["blob"])
+        self.digits, self.step, self.depth = _digits(units, contents["blob"], self.joint)
+        self.symbol = np.concatenate([[0], np.cumsum(count + units.window - 1)[:-1]])
+        self.group = np.unique(contents["key"], return_inverse=True)[1]
+
+    def __len__(self):
+        return int(self.begin[-1])
+
+    def owned(self, windows):
+        """(run, place in the run) of windows."""
+        owner = np.searchsorted(self.begin, windows, "right") - 1
+        return owner, windows - self.begin[owner]
+
+    def starts(self, windows):
+        """The symbols of ``joint`` they start at."""
+        owner, offset = self.owned(windows)
+        return self.symbol[owner] + offset
+
+    def labels(self, windows):
+        owner, offset = self.owned(windows)
+        return equal_windows(self.digits, self.symbol[owner] + offset, self.step, self.depth, self.group[owner])
+
+    def slices(self):
+        """All windows, about SORT_WINDOWS at a time but equal ones always together: dealt by a hash of all their digits."""
+        parts = -(-len(self) // SORT_WINDOWS)
+        if parts <= 1:
+            yield np.arange(len(self))
+            return
+        part = np.empty(len(self), np.min_scalar_type(parts))
+        for a, b in _run_chunks(self.begin, SORT_WINDOWS):
+            starts = self.starts(np.arange(self.begin[a], self.begin[b]))
+            h = np.zeros(len(starts), np.uint64)
+            with np.errstate(over="ignore"):
+                for t in range(self.depth):
+                    h = h * HASH_STEP + self.digits[starts + self.step * t]
+            part[self.begin[a] : self.begin[b]] = mix(h) % np.uint64(parts)
+        order = np.argsort(part, kind="stable").astype(np.min_scalar_type(len(self)))
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        del part
+        for a, b in zip([0, *ends[:-1]], ends):
+            if b > a:
+                yield order[a:b].astype(np.int64)
+
+    def classes(self, chosen):
+        """(windows, source of each, occurrences of its class) for the windows of a slice, in pieces.
+
+        The source of a class is its place with the smallest (doc, row, position). A slice far over
+        SORT_WINDOWS holds few classes, each of many windows: pieces are compared with one window per class.
+        """
+        of = self.contents
+        pieces = np.array_split(chosen, -(-len(chosen) // (2 * SORT_WINDOWS)))
+        source, weight = np.empty(0, np.int64), np.empty(0, np.int64)
+        for piece in pieces:
+            both = np.concatenate([source, piece])
+            label = self.labels(both)
+            owner, offset = self.owned(both)
+            order = np.lexsort((of["first"][owner] + offset, of["row"][owner], of["doc"][owner], label))
+            lead = np.ones(len(order), bool)
+            lead[1:] = label[order][1:] != label[order][:-1]
+            counts = np.concatenate([weight, of["n"][owner[len(source) :]]])
+            source, weight = np.empty(label.max() + 1, np.int64), np.bincount(label, weights=counts).astype(np.int64)
+            source[label[order[lead]]] = both[order[lead]]
+            # Only labels in use go on.
+            used = np.zeros(len(source), bool)
+            used[label] = True
+            number = np.cumsum(used) - 1
+            source, weight = source[used], weight[used]
+        if len(pieces) == 1:
+            yield chosen, number[label], source, weight
+            return
+        for piece in pieces:
+            label = self.labels(np.concatenate([source, piece]))
+            number = np.empty(label.max() + 1, np.int64)
+            number[label[: len(source)]] = np.arange(len(source))
+            yield piece, number[label[len(source) :]], source, weight
 
 
 def match_windows(units, earlier, contents, edges):
@@ -164,36 +271,38 @@ def match_windows(units, earlier, contents, edges):
 
     ``contents``: arrays key, content, n, doc, row, first, windows and a list ``blob``. ``earlier``:
     a window goes if a smaller doc has it; otherwise if any other place has it. ``edges``: keys that
-    may go on in another partition. Returns (columns of intervals, ``EDGE`` records).
+    may go on in another partition. Yields (columns of intervals, ``EDGE`` records), either may be None.
     """
-    count = contents["windows"]
-    joint = (b" " if units.words else b"").join(contents["blob"])
-    digits, step, depth = _digits(units, joint)
-    length = count + units.window - 1
-    begin = np.concatenate([[0], np.cumsum(length)[:-1]])
-    owner = np.repeat(np.arange(len(count)), count)
-    offset = np.arange(len(owner)) - np.repeat(np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-    group = np.unique(contents["key"], return_inverse=True)[1][owner]
-    label = equal_windows(digits, begin[owner] + offset, step, depth, group)
-    doc, row = contents["doc"][owner], contents["row"][owner]
-    place = contents["first"][owner] + offset
-    # The source of a class is its place with the smallest (doc, row, position).
-    order = np.lexsort((place, row, doc, label))
-    lead = np.ones(len(order), bool)
-    lead[1:] = label[order][1:] != label[order][:-1]
-    source = np.empty(label.max() + 1, np.int64)
-    source[label[order[lead]]] = order[lead]
-    weight = np.bincount(label, weights=contents["n"][owner]).astype(np.int64)
-    src = source[label]
-    gone = doc[src] < doc if earlier else weight[label] > 1
-    if not earlier:
-        gone &= contents["n"][owner] == 1  # a content that recurs as a whole is decided as a whole
-    intervals = _intervals(contents, owner, offset, gone, doc[src], row[src], place[src], earlier)
-    edge = np.isin(contents["key"], edges)[owner]
-    told = np.empty(0, EDGE)
-    if edge.any():
-        told = _edges(units, contents, joint, begin, owner, offset, label, edge, gone, weight, source, doc, row, place, earlier)
-    return intervals, told
+    windows = _Windows(units, contents)
+    edge = np.isin(contents["key"], edges)
+    cuts = units.cuts(windows.joint) if edge.any() else None
+    source_of = np.full(len(windows), -1, np.min_scalar_type(-len(windows) - 1))
+    for chosen in windows.slices():
+        told = np.empty(0, np.int64)
+        for piece, label, source, weight in windows.classes(chosen):
+            owner = windows.owned(piece)[0]
+            if earlier:
+                gone = contents["doc"][windows.owned(source)[0]][label] < contents["doc"][owner]
+            else:
+                # A content that recurs as a whole is decided as a whole.
+                gone = (weight[label] > 1) & (contents["n"][owner] == 1)
+            source_of[piece[gone]] = source[label[gone]]
+            if cuts is None:
+                continue
+            at_edge = edge[owner]
+            # A class is told once, though its windows may come in several pieces.
+            classes = np.setdiff1d(label[at_edge], told)
+            told = np.union1d(told, classes)
+            left = piece[at_edge & ~gone & (np.bool_(earlier) | (contents["n"][owner] == 1))]
+            if len(classes) + len(left):
+                yield None, np.concatenate(
+                    [_edges(windows, cuts, source[classes], weight[classes], 0), _edges(windows, cuts, left, 0, 1)]
+                )
+    for a, b in _run_chunks(windows.begin, SORT_WINDOWS):
+        first = windows.begin[a]
+        gone = np.flatnonzero(source_of[first : windows.begin[b]] >= 0) + first
+        if len(gone):
+            yield _intervals(windows, gone, source_of[gone], earlier), None
 
 
 INTERVAL_FIELDS = ["key", "content", "low", "high", "src_doc", "src_row", "src_place"]
@@ -205,39 +314,39 @@ EDGE = np.dtype([(n, np.int64) for n in ("h1", "h2", "weight", "doc", "row", "pl
 MATCH_SCHEMA = INTERVAL_SCHEMA + ", shard int, edge binary"
 
 
-def _intervals(contents, owner, offset, gone, src_doc, src_row, src_place, earlier):
+def _intervals(windows, gone, source, earlier):
     """Runs of consecutive windows that go; of words, from consecutive places of one source."""
-    w = np.flatnonzero(gone)
-    cut = np.ones(len(w), bool)
-    cut[1:] = (owner[w][1:] != owner[w][:-1]) | (offset[w][1:] != offset[w][:-1] + 1)
+    contents = windows.contents
+    owner, offset = windows.owned(gone)
+    src_owner, src_place = windows.owned(source)
+    src_doc, src_row = contents["doc"][src_owner], contents["row"][src_owner]
+    src_place = src_place + contents["first"][src_owner]
+    cut = np.ones(len(gone), bool)
+    cut[1:] = gone[1:] != gone[:-1] + 1
+    cut[1:] |= owner[1:] != owner[:-1]
     if earlier:
-        cut[1:] |= (src_row[w][1:] != src_row[w][:-1]) | (src_place[w][1:] != src_place[w][:-1] + 1)
-    low = w[cut]
-    high = w[np.concatenate([np.flatnonzero(cut)[1:] - 1, [len(w) - 1]])] if len(w) else w
+        cut[1:] |= (src_row[1:] != src_row[:-1]) | (src_place[1:] != src_place[:-1] + 1)
+    low = np.flatnonzero(cut)
+    high = np.concatenate([low[1:] - 1, [len(gone) - 1]])
     who = owner[low]
     values = (contents["key"][who], contents["content"][who], offset[low], offset[high], src_doc[low], src_row[low], src_place[low])
     return [np.asarray(v, t) for v, t in zip(values, INTERVAL_TYPES)]
 
 
-def _edges(units, contents, joint, begin, owner, offset, label, entries, gone, weight, source, doc, row, place, earlier):
+def _edges(windows, cuts, chosen, weights, is_open):
     """``EDGE`` records of windows that may occur in another partition: one per class, one per open window."""
-    start, end = units.places(joint)
-
-    def of(chosen, weights, is_open):
-        a = begin[owner[chosen]] + offset[chosen]
-        cuts = zip(start[a].tolist(), end[a + units.window - 1].tolist())
-        digest = b"".join(hashlib.blake2b(joint[i:j], digest_size=16).digest() for i, j in cuts)
-        out = np.empty(len(chosen), EDGE)
-        out["h1"], out["h2"] = np.frombuffer(digest, np.int64).reshape(-1, 2).T
-        who = owner[chosen]
-        values = (weights, doc[chosen], row[chosen], place[chosen], contents["key"][who], contents["content"][who], offset[chosen], is_open)
-        for name, v in zip(EDGE.names[2:], values):
-            out[name] = v
-        return out
-
-    classes = np.unique(label[entries])
-    left = np.flatnonzero(entries & ~gone & (np.bool_(earlier) | (contents["n"][owner] == 1)))
-    return np.concatenate([of(source[classes], weight[classes], 0), of(left, 0, 1)])
+    contents, joint = windows.contents, windows.joint
+    owner, offset = windows.owned(chosen)
+    digest = b"".join(
+        hashlib.blake2b(joint[i:j], digest_size=16).digest() for i, j in cuts(windows.symbol[owner] + offset)
+    )
+    out = np.empty(len(chosen), EDGE)
+    out["h1"], out["h2"] = np.frombuffer(digest, np.int64).reshape(-1, 2).T
+    values = (weights, contents["doc"][owner], contents["row"][owner], contents["first"][owner] + offset,
+              contents["key"][owner], contents["content"][owner], offset, is_open)
+    for name, v in zip(EDGE.names[2:], values):
+        out[name] = v
+    return out
 
 
 def _settle(earlier):
@@ -245,6 +354,11 @@ def _settle(earlier):
 
     def of_group(table):
         edge = np.frombuffer(b"".join(table.column("edge").to_pylist()), EDGE)
+        parts = max(1, -(-len(edge) // SETTLE_EDGES))
+        part = edge["h2"].view(np.uint64) % np.uint64(parts)
+        return pa.concat_tables([of_windows(edge[part == p]) for p in range(parts)])
+
+    def of_windows(edge):
         edge = edge[np.lexsort((edge["place"], edge["row"], edge["doc"], edge["open"], edge["h2"], edge["h1"]))]
         new = np.ones(len(edge), bool)
         new[1:] = (edge["h1"][1:] != edge["h1"][:-1]) | (edge["h2"][1:] != edge["h2"][:-1])
@@ -289,13 +403,12 @@ def _match_partition(units, earlier, shards):
             some = slice(change[at], change[to])
             part = {f: c[some] for f, c in columns.items()}
             part["blob"] = [b.as_py() for b in blobs[some]]
-            out, told = match_windows(units, earlier, part, edges)
-            n = len(out[0])
-            if n:
-                nothing = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, out), *nothing], names=names)
-            if len(told):
-                yield _dealt(told, shards, names)
+            for out, told in match_windows(units, earlier, part, edges):
+                if out:
+                    nothing = [pa.nulls(len(out[0]), pa.int32()), pa.nulls(len(out[0]), pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, out), *nothing], names=names)
+                if told is not None:
+                    yield _dealt(told, shards, names)
             at = to
 
     return of_batches
@@ -317,22 +430,23 @@ def _fetch(units):
 
     def of_batches(batches):
         for batch in batches:
-            out = []
-            for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist()):
+            out, size = [], 0
+            for text, wanted in zip(batch.column("text"), batch.column("wanted")):
                 data = units.plain(text.as_py())
                 start, end = units.places(data)
                 # A space ends the last word, lest a longer word of another key sort into the group.
                 tail = b" " if units.words else b""
                 kmers = ngram_hash(units.symbols(data), units.kmer).view(np.int64)
-                for r in wanted:
+                for r in wanted.as_py():
                     a, b = r["first"], r["last"]
                     anchor = a + int(np.argmax(kmers[a : b + units.window - units.kmer + 1] == r["key"]))
                     stop = min(anchor + units.window, b + units.window)
                     out.append((r["key"], r["content"], r["n"], r["doc"], r["row"], a, b - a + 1,
                                 data[start[anchor] : end[stop - 1]] + tail, data[start[a] : end[b + units.window - 1]]))
-                if len(out) >= 20_000:
-                    yield pack(out)
-                    out = []
+                    size += len(out[-1][-1])
+                    if size >= AT_ONCE_BYTES:
+                        yield pack(out)
+                        out, size = [], 0
             if out:
                 yield pack(out)
 

@@ -321,6 +321,37 @@ def test_substring_dedup(docs, part_bytes):
     assert as_set(substring.removal_report(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == want
 
 
+@pytest.mark.parametrize("earlier", [True, False])
+def test_windows_of_a_line_that_many_share_are_sorted_in_slices(monkeypatch, earlier):
+    monkeypatch.setattr(repeats, "SORT_WINDOWS", 500)
+    at_once, equal_windows = [], repeats.equal_windows
+    monkeypatch.setattr(repeats, "equal_windows", lambda d, starts, *a: at_once.append(len(starts)) or equal_windows(d, starts, *a))
+    rng = random.Random(3)
+    some = lambda k: "".join(rng.choices("abcdefgh ", k=k))
+    line = some(240)
+    blobs = [data(some(60) + line + some(60)) for _ in range(60)] + [b"z" * rng.randint(400, 900) for _ in range(12)]
+    n, size = len(blobs), [len(b) - 199 for b in blobs]
+    contents = {"key": np.full(n, 7), "content": np.arange(n), "n": np.ones(n, np.int64), "doc": np.arange(n) % 50, "row": np.arange(n),
+                "first": np.full(n, 3), "windows": np.array(size), "blob": blobs}
+    places = {}
+    for i, b in sorted(enumerate(blobs), key=lambda x: x[0] % 50):
+        for j in range(size[i]):
+            places.setdefault(b[j : j + 200], []).append((i, j))
+    want = {w for same in places.values() for w in same if (same[0][0] % 50 < w[0] % 50 if earlier else len(same) > 1)}
+
+    gone, told = [], []
+    for intervals, edge in repeats.match_windows(suffixes.BYTES, earlier, contents, np.array([7])):
+        for _, content, low, high, *_ in zip(*intervals or [[]]):
+            gone += [(content, offset) for offset in range(low, high + 1)]
+        if edge is not None:
+            assert len(edge) <= 4 * 500
+            told += edge.tolist()
+    assert set(gone) == want and len(gone) == len(want)
+    assert sorted(t[2] for t in told if not t[-1]) == sorted(map(len, places.values()))
+    assert {(t[7], t[8]) for t in told if t[-1]} == {w for same in places.values() for w in same} - want
+    assert sum(size) > 10 * 500 and max(at_once) <= 4 * 500
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
